@@ -1,0 +1,96 @@
+"""Playing tables as streams, in event-time order, to check stream operators against tables."""
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from tripstream.plans import new_folder
+from tripstream.schemas import MAX_DELAY
+from tripstream.sources import read_stream
+from tripstream.streaming.sinks import start_sink
+
+
+class Replay:
+    """Feeds named tables to one streaming query, slice after slice of event time.
+
+    The tables are laid out by slice once, in parallel; then each slice is put where the query
+    looks for files, and the query is run on it from its checkpoint. `slices` equal spans of time
+    between the first and last event, or more, so that a slice holds about `max_rows` rows.
+    """
+
+    def __init__(
+        self,
+        inputs: dict[str, DataFrame],
+        build: Callable[..., DataFrame],
+        slices: int = 4,
+        max_rows: int = 50_000_000,
+        max_delay: str | None = MAX_DELAY,
+        partition_by: str | None = None,
+    ):
+        self.inputs = inputs
+        self.spark = next(iter(inputs.values())).sparkSession
+        self.folder = new_folder(self.spark, "replay")
+        self.results = f"{self.folder}/results"
+        self.checkpoint = f"{self.folder}/checkpoint"
+        self._build = build
+        self._slices = slices
+        self._max_rows = max_rows
+        self._max_delay = max_delay
+        self._partition_by = partition_by
+
+    def run(self) -> DataFrame:
+        """Plays everything and returns what the query put out."""
+        for part in range(self.lay_out()):
+            self.feed(part)
+            self.advance()
+        return self.spark.read.parquet(self.results)
+
+    def lay_out(self) -> int:
+        """Writes the tables by slice; returns the number of slices."""
+        at = F.unix_micros("event_time")
+        span = [F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("rows")]
+        found = [df.agg(*span).first() for df in self.inputs.values()]
+        first = min(f["first"] for f in found)
+        length = max(f["last"] for f in found) - first + 1
+        count = max(self._slices, sum(f["rows"] for f in found) // self._max_rows)
+        for name, df in self.inputs.items():
+            (
+                df.withColumn("slice", slice_of(at, first, length, count))
+                .hint("rebalance", "slice")
+                .write.partitionBy("slice")
+                .parquet(f"{self.folder}/laid_out/{name}")
+            )
+        return count
+
+    def feed(self, part: int) -> None:
+        """Lets slice `part` land."""
+        for name, df in self.inputs.items():
+            laid_out = self.spark.read.schema(_with_slice(df.schema)).parquet(
+                f"{self.folder}/laid_out/{name}"
+            )
+            landed = laid_out.filter(F.col("slice") == part).drop("slice")
+            landed.write.mode("append").parquet(f"{self.folder}/landed/{name}")
+
+    def advance(self) -> None:
+        """Runs the query on what has landed since it last ran."""
+        streams = {
+            name: read_stream(
+                self.spark, f"{self.folder}/landed/{name}", df.schema, max_delay=self._max_delay
+            )
+            for name, df in self.inputs.items()
+        }
+        start_sink(
+            self._build(**streams), self.results, self.checkpoint,
+            until_caught_up=True, partition_by=self._partition_by,
+        ).awaitTermination()
+
+
+def slice_of(at: Column, first: int, length: int, count: int) -> Column:
+    """Number of the equal span of time that holds `at`."""
+    return F.floor((at - first) * count / F.lit(length)).cast("int")
+
+
+def _with_slice(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("slice", IntegerType())])
