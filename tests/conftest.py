@@ -11,6 +11,12 @@ def new_session():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # On a local disk the default manager starts a process for each small file it writes.
+        .config(
+            "spark.sql.streaming.checkpointFileManagerClass",
+            "org.apache.spark.sql.execution.streaming.checkpointing"
+            ".FileSystemBasedCheckpointFileManager",
+        )
         .config("spark.python.unix.domain.socket.enabled", "true")
         .getOrCreate()
     )

@@ -104,24 +104,24 @@ WITH a AS (SELECT c_nationkey AS nation, floor(c_acctbal / 1000)::BIGINT AS band
 # watermark known by then. `timers` holds the due times of a user, those of replaced records too.
 _EXPIRED = """
 WITH RECURSIVE chosen AS (
-  SELECT user_id, event_type, event_id, value, ts, epoch_us(ts) AS at
+  SELECT user_id, event_type, event_id, value, ts, epoch_us(ts) AS us
   FROM events WHERE event_type IN ('view', 'purchase')
 ), sliced AS (
-  SELECT c.*, floor((at - first) * 4 / (last - first + 1))::INT AS slice
-  FROM chosen c, (SELECT min(at) AS first, max(at) AS last FROM chosen)
+  SELECT c.*, floor((us - lo) * 4 / (hi - lo + 1))::INT AS slice
+  FROM chosen c, (SELECT min(us) AS lo, max(us) AS hi FROM chosen)
 ), newest AS (
   SELECT k AS slice,
-         least(max(at) FILTER (event_type = 'view'), max(at) FILTER (event_type = 'purchase'))
+         least(max(us) FILTER (event_type = 'view'), max(us) FILTER (event_type = 'purchase'))
            // 1000 - 60000 AS watermark
   FROM sliced, range(4) t(k) WHERE slice <= k GROUP BY k
 ), entry AS (
-  SELECT user_id, slice, event_type AS kind, event_id, at // 1000 AS due, at FROM sliced
+  SELECT user_id, slice, event_type AS kind, event_id, us // 1000 AS due, us FROM sliced
   UNION ALL
   SELECT user_id, slice, 'tick', NULL, watermark, NULL
   FROM newest, (SELECT DISTINCT user_id FROM chosen)
 ), item AS (
   SELECT *, row_number() OVER (PARTITION BY user_id
-                               ORDER BY slice, kind = 'tick', at, kind DESC) AS n
+                               ORDER BY slice, kind = 'tick', us, kind DESC) AS n
   FROM entry
 ), step AS (
   SELECT user_id, 0::BIGINT AS n, NULL::VARCHAR AS kind, NULL::BIGINT AS held,

@@ -4,6 +4,8 @@ Not the same rule as `enrichment_stream`: the limit is the difference of the two
 the watermark's passing one of them. State is bounded by the limit and holds no Python.
 """
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def unmatched_fares_within_stream(
 
 
 def _joined(rides: DataFrame, fares: DataFrame, bound_seconds: int, how: str) -> DataFrame:
-    bound = F.make_dt_interval(secs=F.lit(bound_seconds))
+    bound = F.lit(timedelta(seconds=bound_seconds))
     ride = rides.select(
         F.col("ride_id").alias("match_id"), F.col("event_time").alias("ride_time"),
         F.struct("*").alias("ride"),

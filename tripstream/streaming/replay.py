@@ -39,6 +39,7 @@ class Replay:
         self._max_rows = max_rows
         self._max_delay = max_delay
         self._partition_by = partition_by
+        self._state_partitions = None
 
     def run(self) -> DataFrame:
         """Plays everything and returns what the query put out."""
@@ -54,7 +55,10 @@ class Replay:
         found = [df.agg(*span).first() for df in self.inputs.values()]
         first = min(f["first"] for f in found)
         length = max(f["last"] for f in found) - first + 1
-        count = max(self._slices, sum(f["rows"] for f in found) // self._max_rows)
+        rows = sum(f["rows"] for f in found)
+        count = max(self._slices, rows // self._max_rows)
+        configured = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self._state_partitions = min(configured, max(8, rows // count // 100_000))
         for name, df in self.inputs.items():
             (
                 df.withColumn("slice", slice_of(at, first, length, count))
@@ -84,6 +88,7 @@ class Replay:
         start_sink(
             self._build(**streams), self.results, self.checkpoint,
             until_caught_up=True, partition_by=self._partition_by,
+            state_partitions=self._state_partitions,
         ).awaitTermination()
 
 

@@ -3,8 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commits write what changed, not a snapshot of the store.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 # Fixed value: the interval between checkpoints of a running stream.
 CHECKPOINT_INTERVAL = "10 seconds"
 
@@ -16,13 +20,15 @@ def start_sink(
     interval: str = CHECKPOINT_INTERVAL,
     until_caught_up: bool = False,
     partition_by: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Appends `stream` to parquet files in `path`, exactly once.
 
     Progress and state are committed to `checkpoint`, a folder on shared storage, with every
     micro-batch; a query started again on that folder goes on where the last one stopped.
     `until_caught_up` takes in all that has landed and stops. `partition_by` writes a folder per
-    value, so that one outcome tag can be read without the others.
+    value, so that one outcome tag can be read without the others. `state_partitions` overrides
+    the session's shuffle partitions; a checkpoint keeps the number it began with.
     """
     spark = stream.sparkSession
     writer = stream.writeStream.format("parquet").outputMode("append")
@@ -33,12 +39,21 @@ def start_sink(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=interval)
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    settings = dict(_STATE)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    # A query keeps the settings it was started under; the session gets its own ones back.
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         return writer.start()
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def read_waiting(spark: SparkSession, checkpoint: str) -> DataFrame:

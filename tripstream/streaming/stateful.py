@@ -17,6 +17,8 @@ from tripstream.operators.pairing import tagged
 from tripstream.schemas import MATCHED, UNMATCHED_FARE, UNMATCHED_RIDE
 
 _REPLACE, _EMIT = "replace", "emit"
+_PAIR = Row("ride_id", "ride", "fare")
+_OUTCOME = Row("outcome", "ride_id", "ride", "fare")
 
 
 def _stamped(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -82,7 +84,7 @@ class PairingProcessor(StatefulProcessor):
         slot = _Waiting(self._waiting)
         for row in sorted(rows, key=_arrival):
             if slot.record is not None and slot.record[0] != row.is_ride:
-                yield Row(key[0], *_pair(slot.record, row))
+                yield _PAIR(key[0], *_pair(slot.record, row))
                 slot.record = None
             else:
                 slot.record = (row.is_ride, row.at, row.ride, row.fare)
@@ -116,7 +118,7 @@ class ExpiringProcessor(StatefulProcessor):
             if held is not None and held[0] != row.is_ride:
                 due.discard(held[1] // 1000)
                 undone.add(held[1] // 1000)
-                yield Row(MATCHED, key[0], *_pair(held, row))
+                yield _OUTCOME(MATCHED, key[0], *_pair(held, row))
                 slot.record = None
                 continue
             if held is not None and self._emit_replaced:
@@ -142,7 +144,7 @@ class ExpiringProcessor(StatefulProcessor):
 
 
 def _unmatched(ride_id: int, held: tuple) -> Row:
-    return Row(UNMATCHED_RIDE if held[0] else UNMATCHED_FARE, ride_id, held[2], held[3])
+    return _OUTCOME(UNMATCHED_RIDE if held[0] else UNMATCHED_FARE, ride_id, held[2], held[3])
 
 
 def rides_fares_stream(rides: DataFrame, fares: DataFrame, ttl_ms: int | None = None) -> DataFrame:
