@@ -1,0 +1,53 @@
+"""Sequential models of the arrival rules, one record at a time."""
+
+
+def replay_pairing(events):
+    """events: (key, at, is_ride, id) in arrival order -> pairs, waiting, lost ids."""
+    waiting, pairs, lost = {}, [], []
+    for key, _, is_ride, ident in events:
+        held = waiting.pop(key, None)
+        if held and held[0] != is_ride:
+            pairs.append((key, ident, held[1]) if is_ride else (key, held[1], ident))
+            continue
+        if held:
+            lost.append(held[1])
+        waiting[key] = (is_ride, ident)
+    return pairs, waiting, lost
+
+
+def replay_expiry(files, delay_ms, emit_replaced=False):
+    """files: lists of (key, at_us, is_ride, id) -> outcome rows and what still waits.
+
+    Two inputs, so the older of the two newest times, less the delay, is the watermark; timers
+    fire when a file is through.
+    """
+    waiting, timers, out = {}, {}, []
+    newest = {True: None, False: None}
+
+    def unmatched(key, held):
+        ride, fare = (held[1], None) if held[0] else (None, held[1])
+        out.append(("unmatched_ride" if held[0] else "unmatched_fare", key, ride, fare))
+
+    for rows in files:
+        for key, at, is_ride, ident in sorted(rows, key=lambda r: (r[1], not r[2], r[3])):
+            newest[is_ride] = max(at, newest[is_ride] or at)
+            held = waiting.pop(key, None)
+            due = timers.setdefault(key, set())
+            if held and held[0] != is_ride:
+                due.discard(held[2] // 1000)
+                pair = (ident, held[1]) if is_ride else (held[1], ident)
+                out.append(("matched", key, *pair))
+                continue
+            if held and emit_replaced:
+                unmatched(key, held)
+            waiting[key] = (is_ride, ident, at)
+            due.add(at // 1000)
+        if None in newest.values():
+            continue
+        watermark = min(newest.values()) // 1000 - delay_ms
+        for key, due in timers.items():
+            fired = {t for t in due if t <= watermark}
+            if fired and key in waiting:
+                unmatched(key, waiting.pop(key))
+            due -= fired
+    return out, waiting

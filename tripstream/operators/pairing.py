@@ -42,19 +42,19 @@ def tagged(rides: DataFrame, fares: DataFrame) -> DataFrame:
 
 
 def _scanned(events: DataFrame, *group: str) -> DataFrame:
-    """Adds what each event can know from its own group: place, run begin, previous event."""
+    """Adds what each event can know from its own group: place, run begin, previous record."""
     order = Window.partitionBy(*group).orderBy(*_order())
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    repeats = F.col("before.is_ride") == F.col("is_ride")
-    return (
-        events.withColumn("pos", F.row_number().over(order).cast("bigint"))
-        .withColumn("before", F.lag(F.struct("is_ride", "ride", "fare")).over(order))
-        .withColumn("last", F.lead("is_ride").over(order).isNull())
-        .withColumn(
-            "run",
-            F.max(F.when(F.col("before").isNull() | repeats, F.col("pos"))).over(so_far),
-        )
+    begins = F.col("prior_is_ride").isNull() | (F.col("prior_is_ride") == F.col("is_ride"))
+    placed = events.select(
+        *group, "event_time", "is_ride", "ride", "fare",
+        F.row_number().over(order).cast("bigint").alias("pos"),
+        F.lag("is_ride").over(order).alias("prior_is_ride"),
+        F.lag("ride").over(order).alias("prior_ride"),
+        F.lag("fare").over(order).alias("prior_fare"),
+        F.lead("is_ride").over(order).isNull().alias("last"),
     )
+    return placed.withColumn("run", F.max(F.when(begins, F.col("pos"))).over(so_far))
 
 
 def _carried(scanned: DataFrame) -> DataFrame:
@@ -62,34 +62,29 @@ def _carried(scanned: DataFrame) -> DataFrame:
     order = Window.partitionBy("ride_id").orderBy("slice")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     tails = scanned.filter("last").select(
-        "ride_id", "slice", "head", F.col("pos").alias("rows"), "run",
-        F.struct("is_ride", "ride", "fare").alias("tail"),
+        "ride_id", "slice", "head", F.col("pos").alias("rows"), "run", "is_ride", "ride", "fare"
     )
-    return (
-        tails.withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-        .withColumn("prior", F.lag("tail").over(order))
-        .withColumn("goes_on", F.coalesce(F.col("prior.is_ride") != F.col("head"), F.lit(False)))
-        .withColumn(
-            "run_from",
-            F.when((F.col("run") > 1) | ~F.col("goes_on"), F.col("offset") + F.col("run")),
-        )
-        .withColumn(
-            "lead_in",
-            F.when(
-                F.col("goes_on"), F.col("offset") + 1 - F.max("run_from").over(earlier)
-            ).otherwise(0),
-        )
-        .select(
-            "ride_id", "slice", "prior", "lead_in",
-            F.lead("slice").over(order).isNotNull().alias("followed"),
-        )
+    linked = tails.select(
+        "*",
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"),
+        F.lag("ride").over(order).alias("earlier_ride"),
+        F.lag("fare").over(order).alias("earlier_fare"),
+        F.coalesce(F.lag("is_ride").over(order) != F.col("head"), F.lit(False)).alias("goes_on"),
+        F.lead("slice").over(order).isNotNull().alias("followed"),
+    )
+    # Where the latest run begun in this slice starts, counted over the whole history.
+    begun = F.when((F.col("run") > 1) | ~F.col("goes_on"), F.col("offset") + F.col("run"))
+    lead_in = F.col("offset") + 1 - F.max("begun").over(earlier)
+    return linked.withColumn("begun", begun).select(
+        "ride_id", "slice", "earlier_ride", "earlier_fare", "followed",
+        F.when(F.col("goes_on"), lead_in).otherwise(0).alias("lead_in"),
     )
 
 
 def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
-    """Adds `before`, `last` and `place`, the number of events before it in the event's run."""
+    """Adds the previous record, `last`, and `place`: the events before it in the event's run."""
     in_run = F.col("pos") - F.col("run")
-    result = ["ride_id", "is_ride", "ride", "fare", "before", "last", "place"]
+    result = ["ride_id", "is_ride", "ride", "fare", "prior_ride", "prior_fare", "last", "place"]
     if not hot.keys:
         return _scanned(events, "ride_id").withColumn("place", in_run).select(result)
 
@@ -110,20 +105,23 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     scanned = _scanned(cut, "ride_id", "slice").withColumn("head", head)
     # A partition boundary cuts one id at most, so there are no more than `slices` plus the
     # number of hot ids rows to broadcast, both below a small multiple of the shuffle partitions.
-    carried = F.broadcast(_carried(scanned))
-    first_run = F.col("run") == 1
     hot_part = (
-        scanned.join(carried, ["ride_id", "slice"])
-        .withColumn("before", F.coalesce("before", "prior"))
+        scanned.join(F.broadcast(_carried(scanned)), ["ride_id", "slice"])
+        .withColumn("prior_ride", F.coalesce("prior_ride", _where_first("earlier_ride")))
+        .withColumn("prior_fare", F.coalesce("prior_fare", _where_first("earlier_fare")))
         .withColumn("last", F.col("last") & ~F.col("followed"))
-        .withColumn("place", in_run + F.when(first_run, F.col("lead_in")).otherwise(0))
+        .withColumn("place", in_run + F.when(F.col("run") == 1, F.col("lead_in")).otherwise(0))
         .select(result)
     )
     return cold.unionByName(hot_part)
 
 
-def _own_or_before(kind: str) -> Column:
-    return F.coalesce(F.col(kind), F.col(f"before.{kind}")).alias(kind)
+def _where_first(column: str) -> Column:
+    return F.when(F.col("pos") == 1, F.col(column))
+
+
+def _own_or_prior(kind: str) -> Column:
+    return F.coalesce(kind, f"prior_{kind}").alias(kind)
 
 
 def rides_fares_pairs(
@@ -139,7 +137,7 @@ def rides_fares_pairs(
     return (
         _settled(events, hot)
         .filter("place % 2 = 1")
-        .select("ride_id", _own_or_before("ride"), _own_or_before("fare"))
+        .select("ride_id", _own_or_prior("ride"), _own_or_prior("fare"))
     )
 
 
