@@ -8,7 +8,7 @@ def new_session():
         .appName("tripstream-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         # On a local disk the default manager starts a process for each small file it writes.

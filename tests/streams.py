@@ -1,0 +1,65 @@
+"""Landing files one after the other in front of a stream."""
+
+from datetime import datetime, timedelta, timezone
+
+from tripstream.sources import read_stream
+from tripstream.streaming.sinks import start_sink
+
+T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+RECORD = "ride_id long, event_time timestamp, no long"
+
+
+def at_second(seconds):
+    return T0 + timedelta(seconds=seconds)
+
+
+class Player:
+    """`land` drops rows into an input's folder; `advance` runs the query on what is new."""
+
+    def __init__(self, spark, folder, build, schemas, max_delay="60 seconds", **sink):
+        self.spark, self.folder, self.build, self.schemas = spark, str(folder), build, schemas
+        self.max_delay, self.sink, self.progress = max_delay, sink, []
+
+    def land(self, name, rows):
+        df = self.spark.createDataFrame(rows, self.schemas[name]).coalesce(1)
+        df.write.mode("append").parquet(f"{self.folder}/in/{name}")
+
+    def advance(self, max_files=None):
+        streams = {
+            name: read_stream(
+                self.spark, f"{self.folder}/in/{name}",
+                self.spark.createDataFrame([], schema).schema,
+                max_delay=self.max_delay, max_files=max_files,
+            )
+            for name, schema in self.schemas.items()
+        }
+        query = start_sink(
+            self.build(**streams), f"{self.folder}/out", f"{self.folder}/checkpoint",
+            until_caught_up=True, **self.sink,
+        )
+        query.awaitTermination()
+        self.progress += query.recentProgress
+        return self
+
+    def results(self):
+        return self.spark.read.parquet(f"{self.folder}/out")
+
+
+def land_events(player, events):
+    """(key, at_us, is_ride, id) rows into the rides and fares folders."""
+    for name, is_ride in (("rides", True), ("fares", False)):
+        player.land(
+            name,
+            [(k, T0 + timedelta(microseconds=at), n) for k, at, r, n in events if r == is_ride],
+        )
+
+
+def pairing_player(spark, folder, build, **options):
+    return Player(spark, folder, build, {"rides": RECORD, "fares": RECORD}, **options)
+
+
+def outcomes(df):
+    return sorted(
+        ((r.outcome, r.ride_id, r.ride and r.ride.no, r.fare and r.fare.no) for r in df.collect()),
+        key=repr,
+    )
