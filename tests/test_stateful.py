@@ -58,7 +58,7 @@ def test_one_run_over_all_files_equals_restarts_between_them(spark, tmp_path):
 def test_time_to_live_keeps_fresh_records(spark, tmp_path):
     player = pairing_player(
         spark, tmp_path, lambda rides, fares: rides_fares_stream(rides, fares, ttl_ms=3_600_000),
-        max_delay=None,
+        max_delay=None, idle_batches=False,
     )
     land_events(player, [(1, 1 * S, True, 1), (2, 1 * S, True, 2)])
     player.advance()

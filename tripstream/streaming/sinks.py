@@ -21,6 +21,7 @@ def start_sink(
     until_caught_up: bool = False,
     partition_by: str | None = None,
     state_partitions: int | None = None,
+    idle_batches: bool = True,
 ) -> StreamingQuery:
     """Appends `stream` to parquet files in `path`, exactly once.
 
@@ -28,7 +29,9 @@ def start_sink(
     micro-batch; a query started again on that folder goes on where the last one stopped.
     `until_caught_up` takes in all that has landed and stops. `partition_by` writes a folder per
     value, so that one outcome tag can be read without the others. `state_partitions` overrides
-    the session's shuffle partitions; a checkpoint keeps the number it began with.
+    the session's shuffle partitions; a checkpoint keeps the number it began with. Batches without
+    input let time move on; with state that lives for a span of processing time they never end, so
+    such a stream needs `idle_batches=False` to catch up and stop.
     """
     spark = stream.sparkSession
     writer = stream.writeStream.format("parquet").outputMode("append")
@@ -42,6 +45,8 @@ def start_sink(
     settings = dict(_STATE)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if not idle_batches:
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     # A query keeps the settings it was started under; the session gets its own ones back.
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
