@@ -2,10 +2,13 @@ import random
 
 import pytest
 
+from pyspark.sql import Row
+
 from tests.models import replay_expiry, replay_pairing
 from tests.streams import land_events, outcomes, pairing_player
 from tripstream.operators.enrichment import side_output
 from tripstream.streaming.sinks import read_waiting
+from tripstream.streaming import stateful
 from tripstream.streaming.stateful import enrichment_stream, rides_fares_stream
 
 S = 1_000_000
@@ -116,3 +119,15 @@ def test_random_expiry_matches_the_model(spark, tmp_path, on_duplicate):
 def test_unknown_duplicate_rule(spark):
     with pytest.raises(ValueError):
         enrichment_stream(None, None, on_duplicate="drop")
+
+
+def test_large_groups_are_sorted_outside_memory(monkeypatch):
+    draw = random.Random(8)
+    rows = [
+        Row(at=draw.randrange(500), is_ride=kind, ride=Row(no=n) if kind else None,
+            fare=None if kind else Row(no=n))
+        for n, kind in ((n, draw.random() < 0.5) for n in range(25_000))
+    ]
+    monkeypatch.setattr(stateful, "_SORT_MEMORY", 1)
+    assert list(stateful._in_order(iter(rows))) == sorted(rows, key=stateful._arrival)
+    assert list(stateful._in_order(iter(rows[:99]))) == sorted(rows[:99], key=stateful._arrival)

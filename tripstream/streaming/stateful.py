@@ -2,12 +2,16 @@
 
 Both operators take one shuffle by ride id and keep at most one waiting record per id. State lives
 in the RocksDB store, on local disk with durable checkpoints, so its size is not bound by memory.
-A task sorts one id's rows of one micro-batch; bound the micro-batch at the source (`read_stream`).
+An id's rows of one micro-batch are sorted by the task that holds the id's state, on disk where they
+are many: the rules depend on order, so an id cannot be shared between tasks.
 """
 
 from collections.abc import Iterator
+from itertools import chain, islice
 from typing import Any
 
+from pyspark.serializers import CPickleSerializer
+from pyspark.shuffle import ExternalSorter
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,6 +23,9 @@ from tripstream.schemas import MATCHED, UNMATCHED_FARE, UNMATCHED_RIDE
 _REPLACE, _EMIT = "replace", "emit"
 _PAIR = Row("ride_id", "ride", "fare")
 _OUTCOME = Row("outcome", "ride_id", "ride", "fare")
+# Rows of one id sorted without looking at memory; worker memory in MB from where a sort spills.
+_SMALL_GROUP = 10_000
+_SORT_MEMORY = 1024
 
 
 def _stamped(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -32,6 +39,14 @@ def _arrival(row: Row) -> tuple:
     return row.at, not row.is_ride, [(v is not None, v) for v in record]
 
 
+def _in_order(rows: Iterator[Row]) -> Iterator[Row]:
+    first = list(islice(rows, _SMALL_GROUP))
+    if len(first) < _SMALL_GROUP:
+        return iter(sorted(first, key=_arrival))
+    sorter = ExternalSorter(_SORT_MEMORY, CPickleSerializer())
+    return iter(sorter.sorted(chain(first, rows), key=_arrival))
+
+
 def _waiting_schema(events: DataFrame) -> StructType:
     return StructType([
         StructField("is_ride", BooleanType()),
@@ -82,7 +97,7 @@ class PairingProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         slot = _Waiting(self._waiting)
-        for row in sorted(rows, key=_arrival):
+        for row in _in_order(rows):
             if slot.record is not None and slot.record[0] != row.is_ride:
                 yield _PAIR(key[0], *_pair(slot.record, row))
                 slot.record = None
@@ -111,25 +126,23 @@ class ExpiringProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         slot = _Waiting(self._waiting)
-        # Timers are set and deleted once, by what the micro-batch changes in the end.
-        due, undone = set(), set()
-        for row in sorted(rows, key=_arrival):
+        # A record that comes and is matched within one micro-batch never sets its timer.
+        untimed = False
+        for row in _in_order(rows):
             held = slot.record
             if held is not None and held[0] != row.is_ride:
-                due.discard(held[1] // 1000)
-                undone.add(held[1] // 1000)
+                self._handle.deleteTimer(held[1] // 1000)
                 yield _OUTCOME(MATCHED, key[0], *_pair(held, row))
-                slot.record = None
+                slot.record, untimed = None, False
                 continue
+            if untimed:
+                self._handle.registerTimer(held[1] // 1000)
             if held is not None and self._emit_replaced:
                 yield _unmatched(key[0], held)
-            slot.record = (row.is_ride, row.at, row.ride, row.fare)
-            due.add(row.at // 1000)
+            slot.record, untimed = (row.is_ride, row.at, row.ride, row.fare), True
         slot.save()
-        for at in undone - due:
-            self._handle.deleteTimer(at)
-        for at in due:
-            self._handle.registerTimer(at)
+        if untimed:
+            self._handle.registerTimer(slot.record[1] // 1000)
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
