@@ -18,7 +18,7 @@ def read_stream(
     schema: StructType,
     fmt: str = "parquet",
     max_delay: str | None = MAX_DELAY,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
     """An unbounded stream of the files that land in folder `path`.
