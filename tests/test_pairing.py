@@ -39,15 +39,18 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("history", CASES)
-def test_small_histories(spark, history):
-    rides, fares = frames(spark, [(7, n, kind == "R", n) for n, kind in enumerate(history)])
-    pairs, waiting = CASES[history]
+def test_small_histories(spark):
+    ids = {key: history for key, history in enumerate(CASES)}
+    rides, fares = frames(
+        spark, [(k, n, kind == "R", n) for k, h in ids.items() for n, kind in enumerate(h)]
+    )
     found, rest = got(
         pairing.rides_fares_pairs(rides, fares), pairing.rides_fares_waiting(rides, fares)
     )
-    assert found == [(7, *p) for p in pairs]
-    assert [i for _, i in rest.values()] == ([] if waiting is None else [waiting])
+    assert found == sorted((k, *pair) for k, h in ids.items() for pair in CASES[h][0])
+    assert {k: no for k, (_, no) in rest.items()} == {
+        k: CASES[h][1] for k, h in ids.items() if CASES[h][1] is not None
+    }
 
 
 def random_events(seed, rows, keys, hot_share, instants):
@@ -78,18 +81,20 @@ def test_random_histories_with_a_hot_id(spark, seed, instants):
     assert 2 * len(pairs) + len(waiting) + len(lost) == len(events)
 
 
-@pytest.mark.parametrize("pattern", ["RF", "R", "RRF", "FFRRRF"])
-def test_hot_id_with_a_pattern_across_slices(spark, pattern):
-    events = [(0, n, pattern[n % len(pattern)] == "R", n) for n in range(500)]
+@pytest.mark.parametrize("limit", [23, 800])
+def test_hot_ids_with_patterns_across_slices(spark, limit):
+    patterns = ["RF", "R", "RRF", "FFRRRF"]
+    events = [
+        (k, n, p[n % len(p)] == "R", 1000 * k + n) for k, p in enumerate(patterns) for n in range(400)
+    ]
     pairs, waiting, _ = replay_pairing(events)
     rides, fares = frames(spark, events)
-    for hot in (HotKeys([0], 500, 7), HotKeys([0], 500, 250)):
-        found, rest = got(
-            pairing.rides_fares_pairs(rides, fares, hot),
-            pairing.rides_fares_waiting(rides, fares, hot),
-        )
-        assert found == sorted(pairs)
-        assert rest == waiting
+    hot = HotKeys([0, 1, 2, 3], 1600, limit)
+    found, rest = got(
+        pairing.rides_fares_pairs(rides, fares, hot), pairing.rides_fares_waiting(rides, fares, hot)
+    )
+    assert found == sorted(pairs)
+    assert rest == waiting
 
 
 def test_records_without_id_or_time_pair_with_nothing(spark):
