@@ -97,6 +97,19 @@ def test_hot_ids_with_patterns_across_slices(spark, limit):
     assert rest == waiting
 
 
+def test_many_copies_of_a_record_on_a_hot_id(spark):
+    events = random_events(4, 200, 5, 0.5, 50)
+    events += [(0, 25, True, 900)] * 300 + [(0, 25, False, 901)] * 200 + [(0, 40, False, 902)] * 2
+    pairs, waiting, _ = replay_pairing(in_order(events))
+    rides, fares = frames(spark, events)
+    hot = HotKeys([0], 600, 60)
+    found, rest = got(
+        pairing.rides_fares_pairs(rides, fares, hot), pairing.rides_fares_waiting(rides, fares, hot)
+    )
+    assert found == sorted(pairs)
+    assert rest == waiting
+
+
 def test_records_without_id_or_time_pair_with_nothing(spark):
     rides, fares = frames(spark, [(None, 1, True, 1), (None, 2, False, 2), (4, 3, True, 3)])
     fares = fares.unionByName(

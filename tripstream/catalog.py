@@ -19,7 +19,7 @@ from tripstream.streaming import interval, stateful
 from tripstream.streaming.replay import Replay
 from tripstream.streaming.sinks import read_waiting
 
-# The reference leaves its region's bounds open; these suit the coordinates derived below.
+# No bounds of the region are given anywhere; these suit the coordinates derived below.
 BOX = Box(west=-1.0, south=-1.0, east=1.0, north=1.0)
 BOUND_DAYS = 30
 BOUND_SECONDS = BOUND_DAYS * 86400

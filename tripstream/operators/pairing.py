@@ -15,7 +15,7 @@ row per slice.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstream.plans import HOT_ROWS, HotKeys, ensure_checkpoint_dir, find_hot_keys
+from tripstream.plans import HOT_ROWS, HotKeys, find_hot_keys, new_folder
 
 
 def _order() -> list[Column]:
@@ -91,18 +91,28 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     is_hot = F.col("ride_id").isin(hot.keys)
     cold = _scanned(events.filter(~is_hot), "ride_id").withColumn("place", in_run).select(result)
 
-    # Range partitions hold whole stretches of an id's history and split even a single instant.
-    # Their bounds are sampled, so they are written down: both uses below must see the same ones.
-    ensure_checkpoint_dir(events.sparkSession)
-    slices = hot.rows // hot.limit + 2
-    cut = (
+    # Copies of one record follow each other, and all between the first and the last are replaced
+    # unseen: two stand for any number, which no range could split.
+    copies = F.least(F.count("*"), F.lit(2)).alias("copies")
+    told_apart = (
         events.filter(is_hot)
-        .repartitionByRange(slices, "ride_id", *_order())
+        .groupBy(events.columns)
+        .agg(copies)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+        .drop("copies", "copy")
+    )
+    # Range partitions hold whole stretches of an id's history and split even a single instant;
+    # several to a task's share even out where they go. Their bounds are sampled, so what depends
+    # on them is written down before it is used twice.
+    slices = 4 * hot.rows // hot.limit + 2
+    cut = (
+        told_apart.repartitionByRange(slices, "ride_id", *_order())
         .withColumn("slice", F.spark_partition_id())
-        .checkpoint()
     )
     head = F.first("is_ride").over(Window.partitionBy("ride_id", "slice").orderBy(*_order()))
-    scanned = _scanned(cut, "ride_id", "slice").withColumn("head", head)
+    spark, written = events.sparkSession, new_folder(events.sparkSession, "slices")
+    _scanned(cut, "ride_id", "slice").withColumn("head", head).write.parquet(written)
+    scanned = spark.read.parquet(written)
     # A partition boundary cuts one id at most, so there are no more than `slices` plus the
     # number of hot ids rows to broadcast, both below a small multiple of the shuffle partitions.
     hot_part = (

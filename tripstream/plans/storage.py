@@ -4,16 +4,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder; a local one of our own only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tripstream-")
-    if not spark.sparkContext.getCheckpointDir():
+        root = tempfile.mkdtemp(prefix="tripstream-")
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a fresh folder for data that one query derives."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tripstream/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark).rstrip('/')}/tripstream/{name}-{uuid.uuid4().hex}"
