@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.compare import TESTDATA, compare, tables
+from tripstream.catalog import queries
+from tripstream.oracles import oracle_sql
 
 SF = TESTDATA / "sf0.001"
 
