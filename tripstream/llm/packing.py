@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 
@@ -37,12 +38,18 @@ def library_encoder(vocabulary: str):
     return encode
 
 
+@functools.cache
+def library_cache(vocabulary: str) -> PieceCache:
+    """Kept by a worker process from task to task."""
+    return PieceCache(library_encoder(vocabulary))
+
+
 def tokenised(docs: DataFrame, id_column: str, text_column: str, vocabulary: str, end: int) -> DataFrame:
     """Per document its ids (with end) and, as partition and running total, its place in the partition's tokens."""
     last = np.array([end], "<u4").tobytes()
 
     def make():
-        cache, part, total = PieceCache(library_encoder(vocabulary)), TaskContext.get().partitionId(), 0
+        cache, part, total = library_cache(vocabulary), TaskContext.get().partitionId(), 0
 
         def work(batch):
             nonlocal total

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tripstream.llm import exact_dedup, packing
+from tripstream.llm import bpe, exact_dedup, packing, token_counts
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op6_packing": packing.op6_packing,
+        "op9_bpe": bpe.op9_bpe,
+        "op10_token_counts": token_counts.op10_token_counts,
     }
 
 
