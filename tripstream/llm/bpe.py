@@ -146,7 +146,9 @@ class ByteBpe:
 
 
 # A worker process keeps these from task to task; PieceCache bounds what they hold.
-shared_bpe = functools.cache(ByteBpe)
+@functools.cache
+def shared_bpe(vocabulary: str) -> ByteBpe:
+    return ByteBpe(vocabulary)
 
 
 @functools.cache
