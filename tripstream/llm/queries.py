@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tripstream.llm import bpe, exact_dedup, packing, token_counts
+from tripstream.llm import bpe, exact_dedup, line_dedup, packing, simhash, token_counts
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_simhash": simhash.op5_simhash,
         "op6_packing": packing.op6_packing,
         "op9_bpe": bpe.op9_bpe,
         "op10_token_counts": token_counts.op10_token_counts,
@@ -15,4 +17,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.OP3_SQL}
+    return {"op3_exact_dedup": exact_dedup.OP3_SQL, "op4_line_dedup": line_dedup.OP4_SQL}
