@@ -1,4 +1,8 @@
-"""A corpus pipeline: language, exact copies, near copies, repeated passages, packing."""
+"""A corpus pipeline: language, exact copies, near copies, repeated passages, packing.
+
+Each stage is a function of (spark, docs, sf_dir) that returns what it keeps of docs; all but the last return the
+columns of documents. `run` writes each result to the shared folder and reads it again for the next.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripstream.llm.common import stored
 from tripstream.llm.exact_dedup import drop_exact_duplicates
+from tripstream.llm.language_id import drop_unidentified
 from tripstream.llm.packing import pack
+from tripstream.llm.simhash import drop_near_duplicates
+from tripstream.llm.suffix_array import drop_repeated_passages
+
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language can be told; those without text or without a letter go."""
+    return drop_unidentified(docs)
 
-def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts, the one with the largest id."""
     return drop_exact_duplicates(docs)
 
 
-def _packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by close fingerprints, the one with the smallest id."""
+    return drop_near_duplicates(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 bytes or more that one with a smaller id has; n_chars follows the text."""
+    return drop_repeated_passages(docs, length_column="n_chars")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of documents in sequences of 2048 tokens."""
     return pack(docs)
 
 
-STAGES = [("exact dedup", _exact), ("packing", _packed)]
+STAGES = [
+    ("language ID", language),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("suffix-array dedup", passages),
+    ("packing", packed),
+]
 
-#: Encoding can't be expressed in SQL; tests/llm hold the stages against brute-force versions.
+#: Encoding and learning can't be expressed in SQL; tests/llm hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 

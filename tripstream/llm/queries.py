@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripstream.llm import bpe, exact_dedup, line_dedup, packing, simhash, token_counts
+from tripstream.llm import bpe, exact_dedup, language_id, line_dedup, packing, simhash, suffix_array, token_counts
 
 
 def queries() -> dict:
@@ -11,6 +11,8 @@ def queries() -> dict:
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_simhash": simhash.op5_simhash,
         "op6_packing": packing.op6_packing,
+        "op7_language_id": language_id.op7_language_id,
+        "op8_suffix_array": suffix_array.op8_suffix_array,
         "op9_bpe": bpe.op9_bpe,
         "op10_token_counts": token_counts.op10_token_counts,
     }
