@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tripstream.llm import bpe, exact_dedup, language_id, line_dedup, packing, simhash, suffix_array, token_counts
+from tripstream.llm import ann, bpe, chat, exact_dedup, language_id, line_dedup, packing, simhash, suffix_array, token_counts
 
 
 def queries() -> dict:
     return {
+        "op1_ann": ann.op1_ann,
+        "op2_chat": chat.op2_chat,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_simhash": simhash.op5_simhash,
@@ -19,4 +21,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.OP3_SQL, "op4_line_dedup": line_dedup.OP4_SQL}
+    return {
+        "op2_chat": chat.OP2_SQL,
+        "op3_exact_dedup": exact_dedup.OP3_SQL,
+        "op4_line_dedup": line_dedup.OP4_SQL,
+    }

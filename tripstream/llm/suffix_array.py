@@ -15,6 +15,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,7 +106,7 @@ def blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_column)), 0).to_numpy(zero_copy_only=False)
+            lengths = pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_numpy(zero_copy_only=False)
             block = (np.cumsum(lengths, dtype=np.int64) - lengths) // BLOCK_BYTES
             edges = [*groups_of(block).tolist(), len(block)]
             for a, b in zip(edges, edges[1:], strict=False):
