@@ -40,7 +40,7 @@ class ByteBpe:
         self.bytes_of = [b""] * size
         for text, i in [*raw.items(), *((t.encode(), i) for t, i in self.special.items())]:
             self.bytes_of[i] = text
-        self.single = [raw[bytes([b])] for b in range(256)]
+        self.single = np.array([raw[bytes([b])] for b in range(256)])
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         vocab = model["vocab"]
         self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed([*enumerate(pairs)])}
@@ -49,33 +49,83 @@ class ByteBpe:
         for (a, b), (rank, made) in self.merge.items():
             if self.rank[made] < 0 or rank < self.rank[made]:
                 self.rank[made], self.left[made], self.right[made] = rank, a, b
-        keys = np.array([a * size + b for a, b in self.merge], np.int64)
-        order = np.argsort(keys)
-        self.size, self.keys = size, np.append(keys[order], NEVER)
-        self.ranks = np.append(np.array([r for r, _ in self.merge.values()], np.int64)[order], NEVER)
+        self.size = size
+        self._index(np.array([[a, b, *m] for (a, b), m in self.merge.items()], np.int64))
         # Proposals use only tokens that merging makes from their own bytes.
-        self.table = {t: i for t, i in raw.items() if self.merged(t) == [i]}
+        tokens = list(raw)
+        ids, counts = self.merged(tokens)
+        first = np.cumsum(counts) - counts
+        self.table = {t: raw[t] for t, n, i in zip(tokens, counts.tolist(), ids[first].tolist(), strict=True) if n == 1 and i == raw[t]}
         self.longest = max(map(len, self.table))
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
-    def merged(self, word: bytes) -> list[int]:
-        """Exact merging: the lowest rank first, leftmost first among equals."""
-        ids = [self.single[b] for b in word]
-        while len(ids) > 1:
-            best = min((self.merge.get(p, (NEVER, 0)) for p in zip(ids, ids[1:])), key=lambda m: m[0])
-            if best[0] == NEVER:
+    def _index(self, merges: np.ndarray) -> None:
+        """The merges in a table with open addressing: pair, rank and result by slot."""
+        self.shift = np.uint64(64 - max(4, int(len(merges) * 4).bit_length()))
+        room = (1 << (64 - int(self.shift))) + 64
+        self.pair, self.pair_rank, self.pair_made = np.full(room, -1), np.full(room, NEVER), np.zeros(room, np.int64)
+        keys = merges[:, 0] * self.size + merges[:, 1]
+        slot, rest = self._slot(keys), np.arange(len(keys))
+        while len(rest):
+            free = rest[self.pair[slot[rest]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.pair[slot[put]], self.pair_rank[slot[put]], self.pair_made[slot[put]] = keys[put], merges[put, 2], merges[put, 3]
+            rest = np.setdiff1d(rest, put, assume_unique=True)
+            slot[rest] += 1
+        self.probes = int((np.flatnonzero(self.pair >= 0) - self._slot(self.pair[self.pair >= 0])).max(initial=0)) + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The slot of each pair; where no merge has it, one that holds rank NEVER."""
+        keys = left * self.size + right
+        slot = self._slot(keys)
+        open_ = np.flatnonzero((self.pair[slot] != keys) & (self.pair[slot] >= 0))
+        for _ in range(self.probes):
+            if not len(open_):
                 break
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and self.merge.get((ids[i], ids[i + 1])) == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
+            slot[open_] += 1
+            at = self.pair[slot[open_]]
+            open_ = open_[(at != keys[open_]) & (at >= 0)]
+        slot[self.pair[slot] != keys] = -1  # the last slot stays empty
+        return slot
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of many words at once: their ids in a row, and how many each has.
+
+        Each round joins, in every word, the pairs of its lowest rank, leftmost first where they overlap.
+        """
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        ids = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.repeat(np.arange(len(words)), counts)
+        done_ids, done_word = [], []
+        while len(ids):
+            inner = np.append(word[1:] == word[:-1], False)
+            slot = np.full(len(ids), -1)
+            at = np.flatnonzero(inner)
+            slot[at] = self.found(ids[at], ids[at + 1])
+            rank = self.pair_rank[slot]
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            low = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(ids))))
+            over = low == NEVER
+            if over.any():
+                done_ids.append(ids[over])
+                done_word.append(word[over])
+            hits = np.flatnonzero((rank == low) & ~over)
+            begins = np.append(True, np.diff(hits) != 1)
+            run = hits - np.repeat(hits[begins], np.diff(np.append(np.flatnonzero(begins), len(hits)))) if len(hits) else hits
+            hits = hits[run % 2 == 0]
+            ids[hits] = self.pair_made[slot[hits]]
+            stay = ~over
+            stay[hits + 1] = False
+            ids, word = ids[stay], word[stay]
+        if not done_ids:
+            return ids, counts
+        ids, word = np.concatenate(done_ids), np.concatenate(done_word)
+        return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
     def proposed(self, word: bytes) -> list[int]:
         """From left to right the longest token each time."""
@@ -99,9 +149,7 @@ class ByteBpe:
         bad, open_ = np.zeros(len(left), bool), np.arange(len(left))
         while len(open_):
             a, b = left[open_], right[open_]
-            key = a * self.size + b
-            place = np.searchsorted(self.keys, key)
-            rank = np.where(self.keys[place] == key, self.ranks[place], NEVER)
+            rank = self.pair_rank[self.found(a, b)]
             hit = (rank < until_left[open_]) & (rank <= until_right[open_]) & (rank != NEVER)
             bad[open_[hit]] = True
             ra, rb = self.rank[a], self.rank[b]
@@ -124,23 +172,43 @@ class ByteBpe:
         inner = np.flatnonzero(word[1:] == word[:-1])
         pairs, inverse = np.unique(ids[inner] * self.size + ids[inner + 1], return_inverse=True)
         wrong = self.joined(pairs // self.size, pairs % self.size)[inverse]
-        for i in np.unique(word[inner[wrong]]).tolist():
-            found[i] = self.merged(words[i])
+        again = np.unique(word[inner[wrong]]).tolist()
+        exact, sizes = self.merged([words[i] for i in again])
+        exact = exact.tolist()
+        at = 0
+        for i, n in zip(again, sizes.tolist(), strict=True):
+            found[i] = exact[at : at + n]
+            at += n
         return found
 
+    def cut(self, text: str) -> list:
+        """The text's words, and for special strings their ids."""
+        if self.specials is not None and "<" in text and self.specials.search(text):
+            parts = self.specials.split(text)
+            return [x for p in parts for x in ([self.special[p]] if p in self.special else self.words.findall(p))]
+        return self.words.findall(text)
+
     def pieces(self, texts: list[str]) -> list[list[int]]:
         """Ids of each piece of text, special strings included."""
-        cut: list[list] = []
-        for text in texts:
-            if self.specials is not None and "<" in text and self.specials.search(text):
-                parts = self.specials.split(text)
-                cut.append([x for p in parts for x in ([self.special[p]] if p in self.special else self.words.findall(p))])
-            else:
-                cut.append(self.words.findall(text))
+        cut = [self.cut(t) for t in texts]
         words = {w: None for c in cut for w in c if isinstance(w, str)}
         ids = dict(zip(words, self.encoded([w.encode() for w in words]), strict=True))
         return [[i for w in c for i in ([w] if isinstance(w, int) else ids[w])] for c in cut]
 
+    def merged_pieces(self, texts: list[str]) -> list[bytes]:
+        """As pieces, by exact merging alone; ids as little-endian unsigned 32-bit bytes."""
+        cut = [self.cut(t) for t in texts]
+        words = [w.encode() if isinstance(w, str) else b"" for c in cut for w in c]
+        ids, counts = self.merged(words)
+        special = [(n, w) for n, w in enumerate(w for c in cut for w in c) if isinstance(w, int)]
+        if special:
+            at = np.array([n for n, _ in special])
+            ids = np.insert(ids, np.cumsum(counts)[at], [w for _, w in special])
+            counts[at] = 1
+        raw = ids.astype("<u4").tobytes()
+        ends = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum([len(c) for c in cut]))] * 4
+        return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
     def decoded(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
@@ -153,6 +221,7 @@ def shared_bpe(vocabulary: str) -> ByteBpe:
 
 @functools.cache
 def id_cache(vocabulary: str) -> PieceCache:
+    """Ids of pieces as little-endian unsigned 32-bit bytes."""
     return PieceCache(lambda pieces: [np.array(i, "<u4").tobytes() for i in shared_bpe(vocabulary).pieces(pieces)])
 
 

@@ -1,7 +1,8 @@
-"""Texts cut at spaces whose neighbours are not white space, and a cache of what each piece gives.
+"""Texts cut where pre-tokens must end, and a cache of what each piece gives.
 
-Such a space always begins a pre-token of the byte-level pattern (and is dropped by the word pattern), so a
-text's tokens are those of its pieces in a row. Most pieces occur again and again; each new one is worked out once.
+A space or a line end between two characters that aren't white space always begins a pre-token of the byte-level pattern
+(the word pattern drops both), so a text's tokens are those of its pieces in a row. Most pieces occur again
+and again; each new one is worked out once.
 """
 
 from __future__ import annotations
@@ -10,6 +11,14 @@ import re
 from collections.abc import Callable
 
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Marks a piece that follows no space.
+BARE = "\0"
+
+
+def odd(piece: str) -> bool:
+    """Whether the cut beside this piece isn't one of those that always hold."""
+    text = piece[1:] if piece[:1] == BARE else piece
+    return piece != "\n" and (not text or text[0].isspace() or text[-1].isspace() or BARE in text)
 
 
 class PieceCache:
@@ -17,37 +26,28 @@ class PieceCache:
 
     def __init__(self, values: Callable[[list[str]], list], limit: int = 400_000):
         self.values, self.limit = values, limit
-        self.first: dict[str, object] = {}  # pieces at the start of a text, which follow no space
-        self.later: dict[str, object] = {}  # pieces after a space; the space belongs to them
+        self.known: dict[str, object] = {}
 
     def of(self, texts: list[str]) -> list[list]:
         """For each text, the values of its pieces in order."""
-        if len(self.later) > self.limit or len(self.first) > self.limit:
-            self.first, self.later = {}, {}
-        split = [t.split(" ") for t in texts]
-        new: set[str] = set()
-        odd: set[str] = set()
-        for i, pieces in enumerate(split):
-            unknown = set(pieces).difference(self.later)
-            unknown.discard(pieces[0])
-            if pieces[0] in pieces[1:] and pieces[0] not in self.later:
-                unknown.add(pieces[0])
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in unknown) or pieces[0] != pieces[0].strip() or (
-                len(pieces) > 1 and not pieces[0]
-            ):
-                split[i] = pieces = INNER_SPACE.split(texts[i])
-                unknown = set(pieces[1:]).difference(self.later)
-                odd.update(p for p in unknown if not p or p[0].isspace() or p[-1].isspace())
-            new |= unknown
-        heads = {p[0] for p in split}.difference(self.first)
-        self._learn(self.first, list(heads), "")
-        self._learn(self.later, list(new), " ")
-        found = [[self.first[p[0]], *map(self.later.__getitem__, p[1:])] for p in split]
-        for piece in odd:  # they would hide an odd space in a later text
-            self.later.pop(piece, None)
-        return found
-
-    def _learn(self, into: dict[str, object], pieces: list[str], before: str) -> None:
+        if len(self.known) > self.limit:
+            self.known = {}
+        split = [f"{BARE}{t.replace('\n', f' \n {BARE}')}".split(" ") for t in texts]
+        new = set().union(*split).difference(self.known)
+        doubtful = set(filter(odd, new))
+        self._learn(list(new - doubtful))
+        get = self.known.__getitem__
+        return [
+            list(map(get, pieces)) if doubtful.isdisjoint(pieces) and BARE not in text else self._careful(text)
+            for text, pieces in zip(texts, split, strict=True)
+        ]
+
+    def _careful(self, text: str) -> list:
+        first, *later = INNER_SPACE.split(text)
+        return self.values([first, *(f" {p}" for p in later)])
+
+    def _learn(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), 20_000):
             part = pieces[at : at + 20_000]
-            into.update(zip(part, self.values([before + p for p in part]), strict=True))
+            texts = [p if p == "\n" else p[1:] if p[0] == BARE else f" {p}" for p in part]
+            self.known.update(zip(part, self.values(texts), strict=True))
