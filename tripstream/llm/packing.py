@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import os
 import zlib
 
 import numpy as np
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripstream.llm.bpe import shared_bpe
 from tripstream.llm.common import stored
 from tripstream.llm.common_arrow import appended, texts_of
 from tripstream.llm.pretokens import PieceCache
@@ -23,25 +23,10 @@ WINDOW = 2048
 END = 1
 
 
-def library_encoder(vocabulary: str):
-    """New pieces encoded by the tokenizers library; ids as little-endian unsigned 32-bit bytes."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
-    def encode(pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    return encode
-
-
 @functools.cache
-def library_cache(vocabulary: str) -> PieceCache:
-    """Kept by a worker process from task to task."""
-    return PieceCache(library_encoder(vocabulary))
+def merged_cache(vocabulary: str) -> PieceCache:
+    """Ids of pieces, the same as the tokenizers library gives; kept by a worker process from task to task."""
+    return PieceCache(shared_bpe(vocabulary).merged_pieces, limit=300_000)
 
 
 def tokenised(docs: DataFrame, id_column: str, text_column: str, vocabulary: str, end: int) -> DataFrame:
@@ -49,7 +34,7 @@ def tokenised(docs: DataFrame, id_column: str, text_column: str, vocabulary: str
     last = np.array([end], "<u4").tobytes()
 
     def make():
-        cache, part, total = library_cache(vocabulary), TaskContext.get().partitionId(), 0
+        cache, part, total = merged_cache(vocabulary), TaskContext.get().partitionId(), 0
 
         def work(batch):
             nonlocal total
@@ -103,8 +88,8 @@ def pack(
                     sequence, offset = divmod(at + start, window)
                     length = min(window - offset, count - start)
                     part = view[4 * start : 4 * (start + length)]
-                    values = (start, length, zlib.crc32(part), count, sequence, offset, bytes(part))
-                    for column, value in zip(columns, values, strict=False):
+                    values = (start, length, zlib.crc32(part), count, sequence, offset, *([bytes(part)] if with_ids else []))
+                    for column, value in zip(columns, values, strict=True):
                         column.append(value)
                     rows.append(i)
                     start += length
