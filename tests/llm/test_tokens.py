@@ -1,0 +1,82 @@
+"""Tokenising operators against the tokenizers library."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tests.llm.support import awkward_texts, by_id, documents, empty
+from tripstream.llm import bpe, packing, token_counts
+from tripstream.llm.pretokens import PieceCache
+
+
+@pytest.fixture(scope="module")
+def byte_level():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_ids_equal_the_library_s(byte_level):
+    texts = [t or "" for t in awkward_texts()]
+    own = bpe.shared_bpe(bpe.VOCABULARY)
+    wanted = [e.ids for e in byte_level.encode_batch(texts, add_special_tokens=False)]
+    for values in (lambda p: own.pieces(p), lambda p: [np.frombuffer(b, "<u4").tolist() for b in own.merged_pieces(p)]):
+        cache = PieceCache(values, limit=40)
+        for _ in range(2):  # the second time from the cache, or after it began afresh
+            assert [[i for v in found for i in v] for found in cache.of(texts)] == wanted
+    assert all(own.decoded(i) == byte_level.decode(i, skip_special_tokens=False) for i in wanted)
+    assert own.decoded([0, 1, 222, 50256]) == byte_level.decode([0, 1, 222, 50256], skip_special_tokens=False)
+
+
+def test_round_trip_digests(spark, byte_level):
+    texts = awkward_texts()
+    found = bpe.round_trip_digests(documents(spark, texts))
+    assert found.columns == ["doc_id", "lang", "source", "n_chars", "keep_id", "kept", "n_tokens", "ids_sha256", "decoded_sha256"]
+    got = by_id(found, "n_tokens", "ids_sha256", "decoded_sha256")
+    for i, text in enumerate(texts):
+        ids = byte_level.encode(text or "", add_special_tokens=False).ids
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), text or "")]
+        assert got[i] == (len(ids), *sha)
+    assert bpe.round_trip_digests(empty(spark)).count() == 0
+
+
+def test_encode_then_decode(spark):
+    texts = awkward_texts(2)
+    back = bpe.decode(bpe.encode(documents(spark, texts)))
+    assert by_id(back, "decoded") == {i: t or "" for i, t in enumerate(texts)}
+
+
+def test_token_counts(spark):
+    texts = [*awkward_texts(), "<|startoftext|>Ab ΑΣ É é ́x<|endoftext|>", "don't WON'T 123"]
+    library = Tokenizer.from_file(token_counts.VOCABULARY)
+    got = by_id(token_counts.token_counts(documents(spark, texts), limit=100), "n_bytes", "n_tokens", "over_limit")
+    for i, text in enumerate(texts):
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert got[i] == (len((text or "").encode()), n, n > 100), text
+    assert token_counts.token_counts(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("window", [16, 2048])
+def test_packing(spark, byte_level, window):
+    texts = awkward_texts()
+    docs = documents(spark, texts)
+    pieces = packing.pack(docs, window=window, with_ids=True)
+    rows = sorted(pieces.collect(), key=lambda r: (r["sequence_id"], r["offset"]))
+    ids = {i: [*byte_level.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    at = 0
+    for r in rows:  # gapless, full sequences but for the last
+        assert (r["sequence_id"], r["offset"]) == divmod(at, window)
+        part = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()
+        assert r["ids"] == part and r["ids_crc32"] == zlib.crc32(part) and r["doc_tokens"] == len(ids[r["doc_id"]])
+        at += r["length"]
+    assert at == sum(map(len, ids.values()))
+    whole = {r["sequence_id"]: r for r in packing.sequences(pieces, window=window).collect()}
+    assert sorted(whole) == list(range(-(-at // window)))
+    for s, r in whole.items():
+        joined = b"".join(p["ids"] for p in rows if p["sequence_id"] == s)
+        assert r["length"] == len(joined) // 4 and r["ids"][: len(joined)] == joined
+        full = r["length"] if r["length"] & (r["length"] - 1) == 0 else window
+        assert len(r["ids"]) == 4 * full and not any(r["ids"][len(joined) :])
+    assert packing.pack(empty(spark)).count() == 0
