@@ -120,6 +120,33 @@ def test_bad_station_date_fails(spark, tmp_path):
         read_stations(spark, str(path)).collect()
 
 
+def test_station_header_and_bad_rows_are_checked_when_pruned(spark, tmp_path):
+    names = STATION.fieldNames()
+    (tmp_path / "swapped.csv").write_text(",".join([*names[:2], "long", "lat", *names[4:]]) + "\n1,a,1.0,2.0,11,P,8/6/2013\n")
+    with pytest.raises(Exception, match="header|FAILED_READ_FILE|swapped.csv"):
+        read_stations(spark, f"{tmp_path}/swapped.csv").collect()
+    (tmp_path / "bad.csv").write_text(",".join(names) + "\n1,a,1.0,2.0,11,P,2013-08-06\n")
+    with pytest.raises(Exception, match="2013-08-06|MALFORMED|FAILFAST"):
+        read_stations(spark, f"{tmp_path}/bad.csv").select("id").collect()
+
+
+def test_totals_do_not_depend_on_order(spark):
+    rows = [(1, at_second(n), v) for n, v in enumerate([0.1, 0.2, 0.3, 1e15, -1e15, 0.00005])]
+    rows += [(2, at_second(9), float("nan")), (2, at_second(9), 1.0)]
+    schema = "driver_id long, event_time timestamp, tip double"
+    for drawn in (rows, rows[::-1], rows[3:] + rows[:3]):
+        found = tips.tips_per_driver_hour(spark.createDataFrame(drawn, schema).repartition(4))
+        assert sorted((r.driver_id, r.total_tips) for r in found.collect()) == [(1, 0.6001), (2, 1.0)]
+
+
+def test_unmatched_within_zero_and_negative_bounds(spark):
+    rides = records(spark, [(1, at_second(5), 1)])
+    fares = records(spark, [(1, at_second(5), 11), (1, at_second(6), 12)])
+    assert [r.no for r in enrichment.unmatched_fares_within(rides, fares, 0).collect()] == [12]
+    with pytest.raises(ValueError):
+        enrichment.unmatched_fares_within(rides, fares, -1)
+
+
 def bag(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 

@@ -110,6 +110,25 @@ def test_many_copies_of_a_record_on_a_hot_id(spark):
     assert rest == waiting
 
 
+def test_a_hot_id_s_records_come_out_as_they_went_in(spark):
+    draw = random.Random(12)
+    rows = [(0, T0 + timedelta(seconds=n // 2), draw.choice([0.0, -0.0, float("nan")]), n) for n in range(200)]
+    fares = spark.createDataFrame(rows, "ride_id long, event_time timestamp, tip double, no long")
+    rides = fares.filter("no % 3 = 0").drop("tip")
+    found = [
+        sorted((r.ride.no, r.fare.no, str(r.fare.tip)) for r in pairing.rides_fares_pairs(rides, fares, hot).collect())
+        for hot in (HotKeys([], 0, 1), HotKeys([0], 260, 40))
+    ]
+    assert found[0] == found[1] and any(tip == "-0.0" for _, _, tip in found[0])
+
+
+def test_one_settling_gives_pairs_and_waiting_records(spark):
+    rides, fares = frames(spark, random_events(21, 400, 9, 0.4, 80))
+    events = pairing.settled(rides, fares, HotKeys([0], 160, 30))
+    both = got(pairing.pairs_of(events), pairing.waiting_of(events))
+    assert both == got(pairing.rides_fares_pairs(rides, fares), pairing.rides_fares_waiting(rides, fares))
+
+
 def test_records_without_id_or_time_pair_with_nothing(spark):
     rides, fares = frames(spark, [(None, 1, True, 1), (None, 2, False, 2), (4, 3, True, 3)])
     fares = fares.unionByName(
@@ -119,6 +138,7 @@ def test_records_without_id_or_time_pair_with_nothing(spark):
         )
     )
     assert pairing.rides_fares_pairs(rides, fares).count() == 0
+    assert {r.is_ride: r["count"] for r in pairing.unplaced(rides, fares).groupBy("is_ride").count().collect()} == {True: 1, False: 2}
     assert [r.ride.no for r in pairing.rides_fares_waiting(rides, fares).collect()] == [3]
 
 

@@ -31,6 +31,18 @@ def test_shuffles(spark, name, shuffles):
     assert len(re.findall(r"Exchange (?:hash|range|Single|RoundRobin)", plan(spark, name))) == shuffles
 
 
+@pytest.mark.parametrize("name,scans,shuffles", [("enrichment_outcomes", 2, 3), ("unmatched_fares", 2, 3), ("unmatched_rides", 2, 3), ("registry_renumbered", 2, 2)])
+def test_each_input_is_scanned_once(spark, name, scans, shuffles):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"FileScan", text)) == scans
+    assert len(re.findall(r"Exchange (?:hash|range|Single|RoundRobin)", text)) <= shuffles
+
+
 def test_scans_read_needed_columns_and_push_filters(spark):
     text = plan(spark, "hourly_tips_max")
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in text
@@ -40,4 +52,4 @@ def test_scans_read_needed_columns_and_push_filters(spark):
 
 def test_partial_aggregation_comes_before_each_shuffle(spark):
     text = plan(spark, "hourly_tips_max")
-    assert "partial_sum(tip" in text and "partial_max(" in text
+    assert "partial_sum(" in text and "partial_max(" in text

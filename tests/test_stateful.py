@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Row
 
 from tests.models import replay_expiry, replay_pairing
-from tests.streams import land_events, outcomes, pairing_player
+from tests.streams import at_second, land_events, outcomes, pairing_player
 from tripstream.operators.enrichment import side_output
 from tripstream.streaming.sinks import read_waiting
 from tripstream.streaming import stateful
@@ -116,6 +116,44 @@ def test_random_expiry_matches_the_model(spark, tmp_path, on_duplicate):
     assert tags == {"matched", "unmatched_ride", "unmatched_fare"} and waiting
 
 
+@pytest.mark.parametrize("on_duplicate", ["replace", "emit"])
+def test_late_records_match_the_model(spark, tmp_path, on_duplicate):
+    files = timed_files(17, 4, 90, 25, 150 * S)
+    for k in range(3):  # every eighth record of a file comes with the next one, far behind the watermark
+        late = files[k][::8]
+        files[k] = [e for e in files[k] if e not in late]
+        files[k + 1] = files[k + 1] + late
+    expected, _ = replay_expiry(files, 60_000, on_duplicate == "emit")
+    player = pairing_player(
+        spark, tmp_path, lambda rides, fares: enrichment_stream(rides, fares, on_duplicate)
+    )
+    for rows in files:
+        land_events(player, rows)
+        player.advance()
+    assert outcomes(player.results()) == sorted(expected, key=repr)
+    dropped = [s["numRowsDroppedByWatermark"] for p in player.progress for s in p["stateOperators"]]
+    assert sum(dropped) == 0
+
+
+def test_records_without_id_or_time_are_unmatched_at_once(spark, tmp_path):
+    player = pairing_player(spark, tmp_path, enrichment_stream)
+    player.land("rides", [(None, at_second(1), 1), (4, None, 2), (5, at_second(9), 3)])
+    player.land("fares", [(None, at_second(1), 11), (5, at_second(10), 13)])
+    player.advance()
+    assert outcomes(player.results()) == sorted(
+        [("unmatched_ride", None, 1, None), ("unmatched_ride", 4, 2, None), ("unmatched_fare", None, None, 11), ("matched", 5, 3, 13)],
+        key=repr,
+    )
+
+
+def test_ties_are_ordered_as_on_tables(spark):
+    values = [None, float("nan"), 2.0, -1.0, float("inf")]
+    table = spark.createDataFrame([(v, (v,)) for v in values], "v double, s struct<x: double>")
+    for column in ("v", "s"):
+        rows = [r[0] for r in table.select(column).orderBy(column).collect()]
+        assert repr(sorted(rows[::-1], key=stateful._spark_order)) == repr(rows)
+
+
 def test_unknown_duplicate_rule(spark):
     with pytest.raises(ValueError):
         enrichment_stream(None, None, on_duplicate="drop")

@@ -3,40 +3,33 @@
 The arrival-driven form, for ids that repeat, is `tripstream.streaming.stateful`.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.functions import bucket_start
 from tripstream.schemas import MATCHED, UNMATCHED_FARE, UNMATCHED_RIDE
 
 
-def enrichment_outcomes(rides: DataFrame, fares: DataFrame) -> DataFrame:
-    """(outcome, ride_id, ride, fare) for every record, matched or not."""
+def _aside(*needed: str) -> Column:
+    """A second join key: 0, but for records that lack a key and so match nothing, a hash that spreads them over all tasks."""
+    lacking = F.col(needed[0]).isNull()
+    for name in needed[1:]:
+        lacking = lacking | F.col(name).isNull()
+    return F.when(lacking, F.xxhash64("*")).otherwise(F.lit(0))
 
-    def outcome(tag):
-        return F.lit(tag).alias("outcome")
 
-    known = F.col("ride_id").isNotNull()
-    ride = rides.filter(known).select("ride_id", F.struct("*").alias("ride"))
-    fare = fares.filter(known).select("ride_id", F.struct("*").alias("fare"))
-    joined = ride.join(fare, "ride_id", "full_outer").select(
+def enrichment_outcomes(rides: DataFrame, fares: DataFrame) -> DataFrame:
+    """(outcome, ride_id, ride, fare) for every record, matched or not; a record without id matches nothing."""
+    keys = ["ride_id", "aside"]
+    ride = rides.select("ride_id", _aside("ride_id").alias("aside"), F.struct("*").alias("ride"))
+    fare = fares.select("ride_id", _aside("ride_id").alias("aside"), F.struct("*").alias("fare"))
+    return ride.join(fare, keys, "full_outer").select(
         F.when(F.col("fare").isNull(), UNMATCHED_RIDE)
         .when(F.col("ride").isNull(), UNMATCHED_FARE)
         .otherwise(MATCHED)
         .alias("outcome"),
         "ride_id", "ride", "fare",
     )
-    # Records without id match nothing. A full outer join would send them all to one task, so
-    # they go round it; the scan skips them by column statistics where there are none.
-    lone_rides = rides.filter(~known).select(
-        outcome(UNMATCHED_RIDE), "ride_id", F.struct("*").alias("ride")
-    )
-    lone_fares = fares.filter(~known).select(
-        outcome(UNMATCHED_FARE), "ride_id", F.struct("*").alias("fare")
-    )
-    return joined.unionByName(lone_rides, allowMissingColumns=True).unionByName(
-        lone_fares, allowMissingColumns=True
-    )
 
 
 def side_output(outcomes: DataFrame, tag: str) -> DataFrame:
@@ -45,7 +38,10 @@ def side_output(outcomes: DataFrame, tag: str) -> DataFrame:
 
 
 def unmatched_fares(rides: DataFrame, fares: DataFrame) -> DataFrame:
-    return fares.join(rides.select("ride_id"), "ride_id", "left_anti")
+    """Fares whose id no ride has, those without id too. Each input is scanned once; a repeated ride id is sent once a task."""
+    known = rides.filter("ride_id IS NOT NULL").select(F.col("ride_id").alias("known_id"), F.lit(0).cast("long").alias("known_aside")).distinct()
+    kept = fares.withColumn("__aside", _aside("ride_id"))
+    return kept.join(known, (F.col("ride_id") == F.col("known_id")) & (F.col("__aside") == F.col("known_aside")), "left_anti").drop("__aside")
 
 
 def unmatched_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -58,9 +54,13 @@ def unmatched_fares_within(rides: DataFrame, fares: DataFrame, bound_seconds: in
     Time is cut into buckets as wide as the bound. A ride in the fare's own bucket is always near
     enough; of the bucket before only the latest ride matters, of the one after only the earliest.
     So rides shrink to one row per id and bucket, partially before the shuffle, and no fare meets
-    more than one of them: ids that repeat cost a join of equal size, not all pairs of an id.
+    more than one of them: ids that repeat cost a join of equal size, not all pairs of an id. A bound of zero asks for the
+    same instant.
     """
-    width = bound_seconds * 1_000_000
+    if bound_seconds < 0:
+        raise ValueError(f"bound_seconds must not be negative: {bound_seconds}")
+    bound = bound_seconds * 1_000_000
+    width = max(1, bound)
     at = F.unix_micros("event_time")
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
     nearest = (
@@ -76,13 +76,17 @@ def unmatched_fares_within(rides: DataFrame, fares: DataFrame, bound_seconds: in
             F.min(F.when(F.col("step") == -1, F.col("at"))).alias("earliest_after"),
         )
     )
-    keyed = fares.withColumn("fare_at", at).withColumn(
+    near_side = nearest.withColumn("near_aside", F.lit(0).cast("long"))
+    keyed = fares.withColumn("fare_aside", _aside("ride_id", "event_time")).withColumn("fare_at", at).withColumn(
         "fare_bucket", bucket_start(F.col("fare_at"), width)
     )
     near = (
         F.col("inside")
-        | (F.col("fare_at") - F.col("latest_before") <= width)
-        | (F.col("earliest_after") - F.col("fare_at") <= width)
+        | (F.col("fare_at") - F.col("latest_before") <= bound)
+        | (F.col("earliest_after") - F.col("fare_at") <= bound)
+    )
+    same = (
+        (F.col("ride_id") == F.col("near_id")) & (F.col("fare_bucket") == F.col("near_bucket"))
+        & (F.col("fare_aside") == F.col("near_aside"))
     )
-    same = (F.col("ride_id") == F.col("near_id")) & (F.col("fare_bucket") == F.col("near_bucket"))
-    return keyed.join(nearest, same & near, "left_anti").drop("fare_at", "fare_bucket")
+    return keyed.join(near_side, same & near, "left_anti").drop("fare_at", "fare_bucket", "fare_aside")

@@ -23,11 +23,23 @@ def _order() -> list[Column]:
     return [F.col("event_time"), F.col("is_ride").desc(), F.col("ride"), F.col("fare")]
 
 
+_PLACED = "ride_id IS NOT NULL AND event_time IS NOT NULL"
+
+
 def tagged(rides: DataFrame, fares: DataFrame) -> DataFrame:
     """Both kinds in one layout: ride_id, event_time, is_ride, and the record as ride or fare.
 
-    A record without ride id or time has no place in any id's history and is left out.
+    A record without ride id or time has no place in any id's history and is left out; `unplaced` has these.
     """
+    return _in_one_layout(rides, fares).filter(_PLACED)
+
+
+def unplaced(rides: DataFrame, fares: DataFrame) -> DataFrame:
+    """The records that `tagged` leaves out, in its layout, to be counted or kept."""
+    return _in_one_layout(rides, fares).filter(f"NOT ({_PLACED})")
+
+
+def _in_one_layout(rides: DataFrame, fares: DataFrame) -> DataFrame:
     ride_type = rides.select(F.struct("*").alias("r")).schema["r"].dataType
     fare_type = fares.select(F.struct("*").alias("f")).schema["f"].dataType
     left = rides.select(
@@ -38,7 +50,7 @@ def tagged(rides: DataFrame, fares: DataFrame) -> DataFrame:
         "ride_id", "event_time", F.lit(False).alias("is_ride"),
         F.lit(None).cast(ride_type).alias("ride"), F.struct("*").alias("fare"),
     )
-    return left.unionByName(right).filter("ride_id IS NOT NULL AND event_time IS NOT NULL")
+    return left.unionByName(right)
 
 
 def _scanned(events: DataFrame, *group: str) -> DataFrame:
@@ -94,12 +106,13 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     # Copies of one record follow each other, and all between the first and the last are replaced
     # unseen: two stand for any number, which no range could split.
     copies = F.least(F.count("*"), F.lit(2)).alias("copies")
+    # Their text tells apart what grouping would take as equal (0.0 and -0.0), and a record comes out as it went in.
     told_apart = (
         events.filter(is_hot)
-        .groupBy(events.columns)
-        .agg(copies)
+        .groupBy("ride_id", "event_time", "is_ride", F.to_json(F.struct("ride", "fare")).alias("text"))
+        .agg(F.first("ride").alias("ride"), F.first("fare").alias("fare"), copies)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-        .drop("copies", "copy")
+        .select(events.columns)
     )
     # Range partitions hold whole stretches of an id's history and split even a single instant;
     # several to a task's share even out where they go. Their bounds are sampled, so what depends
@@ -113,10 +126,14 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     spark, written = events.sparkSession, new_folder(events.sparkSession, "slices")
     _scanned(cut, "ride_id", "slice").withColumn("head", head).write.parquet(written)
     scanned = spark.read.parquet(written)
-    # A partition boundary cuts one id at most, so there are no more than `slices` plus the
-    # number of hot ids rows to broadcast, both below a small multiple of the shuffle partitions.
+    # A partition boundary cuts one id at most, so there are no more than `slices` plus the number of hot ids rows to hand on.
+    # With keys from find_hot_keys that is below a small multiple of the shuffle partitions, and they are broadcast; a
+    # caller's own keys can come to more, and then Spark chooses the join.
+    carried = _carried(scanned)
+    if slices + len(hot.keys) <= 8 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 64:
+        carried = F.broadcast(carried)
     hot_part = (
-        scanned.join(F.broadcast(_carried(scanned)), ["ride_id", "slice"])
+        scanned.join(carried, ["ride_id", "slice"])
         .withColumn("prior_ride", F.coalesce("prior_ride", _where_first("earlier_ride")))
         .withColumn("prior_fare", F.coalesce("prior_fare", _where_first("earlier_fare")))
         .withColumn("last", F.col("last") & ~F.col("followed"))
@@ -134,6 +151,25 @@ def _own_or_prior(kind: str) -> Column:
     return F.coalesce(kind, f"prior_{kind}").alias(kind)
 
 
+def settled(rides: DataFrame, fares: DataFrame, hot: HotKeys | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Each event's place in its id's history, for `pairs_of` and `waiting_of`: settling once serves both.
+
+    Building it runs jobs: a scan for hot ids, unless `hot` has them, and with hot ids the writing of their slices.
+    """
+    events = tagged(rides, fares)
+    return _settled(events, find_hot_keys(events, "ride_id", min_rows) if hot is None else hot)
+
+
+def pairs_of(events: DataFrame) -> DataFrame:
+    """(ride_id, ride, fare) for every pair of settled events."""
+    return events.filter("place % 2 = 1").select("ride_id", _own_or_prior("ride"), _own_or_prior("fare"))
+
+
+def waiting_of(events: DataFrame) -> DataFrame:
+    """(ride_id, ride, fare) for each id whose last settled event is unpaired; one of the two is null."""
+    return events.filter("last AND place % 2 = 0").select("ride_id", "ride", "fare")
+
+
 def rides_fares_pairs(
     rides: DataFrame, fares: DataFrame, hot: HotKeys | None = None, min_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -142,22 +178,14 @@ def rides_fares_pairs(
     `hot` takes the result of an earlier `find_hot_keys` on the same data; by default the ids are
     checked here, in one scan of the id column.
     """
-    events = tagged(rides, fares)
-    hot = find_hot_keys(events, "ride_id", min_rows) if hot is None else hot
-    return (
-        _settled(events, hot)
-        .filter("place % 2 = 1")
-        .select("ride_id", _own_or_prior("ride"), _own_or_prior("fare"))
-    )
+    return pairs_of(settled(rides, fares, hot, min_rows))
 
 
 def rides_fares_waiting(
     rides: DataFrame, fares: DataFrame, hot: HotKeys | None = None, min_rows: int = HOT_ROWS
 ) -> DataFrame:
     """(ride_id, ride, fare) for each id whose last event is unpaired; one of the two is null."""
-    events = tagged(rides, fares)
-    hot = find_hot_keys(events, "ride_id", min_rows) if hot is None else hot
-    return _settled(events, hot).filter("last AND place % 2 = 0").select("ride_id", "ride", "fare")
+    return waiting_of(settled(rides, fares, hot, min_rows))
 
 
 def rides_fares_join(rides: DataFrame, fares: DataFrame) -> DataFrame:

@@ -66,14 +66,19 @@ def registry_renumbered(old: DataFrame, new: DataFrame, key: str = "id") -> Data
     new id is that smallest one). So a row of `new` is reported once, and no group of copies is
     multiplied out.
     """
-    place = [c for c in old.columns if c != key]
-    known = old.groupBy(place).agg(F.min(key).alias("low"), F.max(key).alias("high")).alias("known")
-    listed = new.alias("listed")
-    same = [F.col(f"listed.{c}").eqNullSafe(F.col(f"known.{c}")) for c in place]
-    new_id = F.col(f"listed.{key}")
-    old_id = F.when(F.col("low") != new_id, F.col("low")).otherwise(F.col("high"))
+    # One key column for grouping and join, so that the shuffle of the one serves the other. A bare floating-point number in
+    # it would be normalized anew by the join; as text, with -0.0 made 0.0 first, it is taken as it is.
+    place = F.struct(*[
+        (F.col(c) + F.lit(0.0)).cast("string").alias(c) if kind in ("double", "float") else F.col(c)
+        for c, kind in old.dtypes if c != key
+    ])
+    known = old.select(place.alias("known_place"), F.col(key).alias("known_id")).groupBy("known_place").agg(
+        F.min("known_id").alias("low"), F.max("known_id").alias("high")
+    )
+    listed = new.select(place.alias("place"), F.col(key).alias("new_id"))
+    old_id = F.when(F.col("low") != F.col("new_id"), F.col("low")).otherwise(F.col("high"))
     return (
-        listed.join(known, same)
-        .select(old_id.alias("old_id"), new_id.alias("new_id"))
+        listed.join(known, F.col("place") == F.col("known_place"))
+        .select(old_id.alias("old_id"), "new_id")
         .filter("old_id <> new_id")
     )

@@ -11,15 +11,18 @@ from tripstream.schemas import HOUR
 
 
 def _tips_by_window(fares: DataFrame, size: str, scale: int) -> DataFrame:
-    # The order of floating-point partial sums differs between runs and after a lost executor;
-    # rounding keeps totals, and who wins the hour, the same.
+    # Sums of decimals don't depend on the order of partial sums, which differs between runs and after a lost executor.
+    exact = F.col("tip").try_cast(f"decimal(28, {scale + 6})")
     return fares.groupBy(F.window("event_time", size), "driver_id").agg(
-        F.round(F.sum("tip"), scale).alias("total_tips")
+        F.round(F.sum(exact), scale).cast("double").alias("total_tips")
     )
 
 
 def tips_per_driver_hour(fares: DataFrame, size: str = HOUR, scale: int = 4) -> DataFrame:
-    """Total tips per driver and tumbling window, labelled with the window's exclusive end."""
+    """Total tips per driver and tumbling window, labelled with the window's exclusive end.
+
+    Tips count to six decimals beyond `scale`, totals are rounded to `scale`. A tip that isn't a finite number that fits is as none.
+    """
     return _tips_by_window(fares, size, scale).select(
         F.col("window.end").alias("window_end"), "driver_id", "total_tips"
     )

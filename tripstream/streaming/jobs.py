@@ -2,7 +2,8 @@
 
 Each takes the folder its records land in, a folder for results, and a checkpoint folder on shared
 storage, and returns the started query. Further arguments go to `start_sink`; `source` holds
-arguments of `read_stream` such as the file format or the bound of a micro-batch.
+arguments of `read_stream` such as the file format or the bound of a micro-batch, which is
+MICRO_BATCH_BYTES if none is given: a backlog is taken in at that rate, and no id has more rows at once.
 """
 
 from pyspark.sql import SparkSession
@@ -17,12 +18,22 @@ from tripstream.streaming.sinks import start_sink
 from tripstream.streaming.stateful import enrichment_stream, rides_fares_stream
 
 
+MICRO_BATCH_BYTES = 1 << 30
+
+
+def _source(source: dict | None, **defaults) -> dict:
+    options = {**defaults, **(source or {})}
+    if options.get("max_bytes") is None and options.get("max_files") is None:
+        options["max_bytes"] = MICRO_BATCH_BYTES
+    return options
+
+
 def start_ride_cleansing(
     spark: SparkSession, rides: str, results: str, checkpoint: str, box: Box,
     source: dict | None = None, **sink,
 ) -> StreamingQuery:
     """Rides that begin and end in `box`."""
-    records = read_stream(spark, rides, RIDE, **{"max_delay": None, **(source or {})})
+    records = read_stream(spark, rides, RIDE, **_source(source, max_delay=None))
     return start_sink(ride_cleansing(records, box), results, checkpoint, **sink)
 
 
@@ -31,7 +42,7 @@ def start_hourly_tips(
     source: dict | None = None, **sink,
 ) -> StreamingQuery:
     """The driver with the most tips of each hour."""
-    records = read_stream(spark, fares, FARE, **(source or {}))
+    records = read_stream(spark, fares, FARE, **_source(source))
     return start_sink(hourly_tips_max(records), results, checkpoint, **sink)
 
 
@@ -40,7 +51,7 @@ def start_rides_and_fares(
     ttl_ms: int | None = None, source: dict | None = None, **sink,
 ) -> StreamingQuery:
     """Each ride start with its fare."""
-    options = {"max_delay": None, **(source or {})}
+    options = _source(source, max_delay=None)
     pairs = rides_fares_stream(
         ride_starts(read_stream(spark, rides, RIDE, **options)),
         read_stream(spark, fares, FARE, **options),
@@ -60,8 +71,8 @@ def start_expiring_state(
     as unmatched.
     """
     outcomes = enrichment_stream(
-        ride_starts_sampled(read_stream(spark, rides, RIDE, **(source or {}))),
-        read_stream(spark, fares, FARE, **(source or {})),
+        ride_starts_sampled(read_stream(spark, rides, RIDE, **_source(source))),
+        read_stream(spark, fares, FARE, **_source(source)),
         on_duplicate,
     )
     return start_sink(outcomes, results, checkpoint, **{"partition_by": "outcome", **sink})

@@ -1,5 +1,7 @@
 """Running a stream into files, and reading results and kept state back."""
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +13,8 @@ _STATE = {
 }
 # Fixed value: the interval between checkpoints of a running stream.
 CHECKPOINT_INTERVAL = "10 seconds"
+# Held while a session bears a query's settings, so that threads don't take over each other's.
+_STARTING = threading.Lock()
 
 
 def start_sink(
@@ -48,17 +52,18 @@ def start_sink(
     if not idle_batches:
         settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     # A query keeps the settings it was started under; the session gets its own ones back.
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        return writer.start()
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+    with _STARTING:
+        before = {name: spark.conf.get(name, None) for name in settings}
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        try:
+            return writer.start()
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def read_waiting(spark: SparkSession, checkpoint: str) -> DataFrame:

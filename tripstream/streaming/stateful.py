@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from tripstream.operators.pairing import tagged
+from tripstream.operators.pairing import tagged, unplaced
 from tripstream.schemas import MATCHED, UNMATCHED_FARE, UNMATCHED_RIDE
 
 _REPLACE, _EMIT = "replace", "emit"
@@ -33,10 +33,20 @@ def _stamped(rides: DataFrame, fares: DataFrame) -> DataFrame:
     return tagged(rides, fares).withColumn("at", F.unix_micros("event_time"))
 
 
+def _spark_order(value: Any) -> tuple:
+    """Sorts as Spark does: nulls first, NaN last, structs and arrays part by part."""
+    if value is None:
+        return (0,)
+    if isinstance(value, (tuple, list)):
+        return 1, [_spark_order(v) for v in value]
+    if isinstance(value, float) and value != value:
+        return (2,)
+    return 1, value
+
+
 def _arrival(row: Row) -> tuple:
-    # The record itself makes the order total, as in the batch form; nulls sort first.
-    record = row.ride if row.is_ride else row.fare
-    return row.at, not row.is_ride, [(v is not None, v) for v in record]
+    # The record itself makes the order total, as in the batch form.
+    return row.at, not row.is_ride, _spark_order(row.ride if row.is_ride else row.fare)
 
 
 def _in_order(rows: Iterator[Row]) -> Iterator[Row]:
@@ -179,15 +189,20 @@ def enrichment_stream(
 ) -> DataFrame:
     """Stream of (outcome, ride_id, ride, fare) from two watermarked streams.
 
+    A record that comes behind the watermark is taken in like any other, and is given up with the same micro-batch if
+    its partner isn't there. A record without id or time has no place in any history and is unmatched at once.
     `on_duplicate="replace"` loses a waiting record when another of its kind takes its place;
     "emit" puts it out as unmatched.
     """
     if on_duplicate not in (_REPLACE, _EMIT):
         raise ValueError(f"on_duplicate must be {_REPLACE!r} or {_EMIT!r}: {on_duplicate!r}")
-    events = _stamped(rides, fares)
-    return events.groupBy("ride_id").transformWithState(
+    # Without its event-time column, the operator drops nothing as late; `at` holds the time, and timers follow the watermark.
+    events = _stamped(rides, fares).drop("event_time")
+    expiring = events.groupBy("ride_id").transformWithState(
         ExpiringProcessor(_waiting_schema(events), on_duplicate),
         _result_schema(events, StructField("outcome", StringType())),
         "append",
         "EventTime",
     )
+    outcome = F.when(F.col("is_ride"), UNMATCHED_RIDE).otherwise(UNMATCHED_FARE).alias("outcome")
+    return expiring.unionByName(unplaced(rides, fares).select(outcome, "ride_id", "ride", "fare"))
