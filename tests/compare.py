@@ -46,7 +46,7 @@ def main():
     from tests.conftest import new_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    names = sys.argv[2:] or list(queries())
+    names = sys.argv[2:] or list(oracle_sql())
     spark = new_session()
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = TESTDATA / f"sf{sf}"

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from tripstream.functions import Box, as_event_time
 from tripstream.operators import enrichment, filters, pairing, registry, tips
 from tripstream.plans import new_folder
-from tripstream.schemas import STATION, UNMATCHED_FARE
+from tripstream.replay import Replay
+from tripstream.schemas import STATION, UNMATCHED_FARE, UNMATCHED_RIDE
 from tripstream.sources import read_stations, read_table, write_stations
 from tripstream.streaming import interval, stateful
-from tripstream.streaming.replay import Replay
 from tripstream.streaming.sinks import read_waiting
 
 # No bounds of the region are given anywhere; these suit the coordinates derived below.
@@ -33,11 +33,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
-def _tip_fares(spark, sf_dir):
+def _tip_fares(spark, sf_dir, *more):
     return _table(spark, sf_dir, "events").select(
         F.col("user_id").alias("driver_id"),
         as_event_time("ts").alias("event_time"),
         F.col("value").alias("tip"),
+        *more,
     )
 
 
@@ -164,10 +165,10 @@ def _unmatched_rides(spark, sf_dir):
     return _zoneless(enrichment.unmatched_rides(rides, fares).drop("is_start"))
 
 
-def _station_scan(spark, sf_dir):
-    """The suppliers as a station file, written as CSV and scanned from there."""
+def _stations(spark, sf_dir):
+    """The suppliers in the layout of stations."""
     key = F.col("s_suppkey")
-    stations = _table(spark, sf_dir, "supplier").select(
+    return _table(spark, sf_dir, "supplier").select(
         key.cast("int").alias("id"),
         F.concat(F.col("s_name"), F.lit(" (a/b, @c)")).alias("name"),
         (key % 1801 / 20 - 45).alias("lat"),
@@ -178,9 +179,29 @@ def _station_scan(spark, sf_dir):
             "installation_date"
         ),
     )
-    path = new_folder(spark, "stations")
-    write_stations(stations, path)
-    return read_stations(spark, path).select(STATION.fieldNames())
+
+
+def _scanned(stations, line_end="\n"):
+    """Written as CSV and scanned from there."""
+    path = new_folder(stations.sparkSession, "stations")
+    write_stations(stations, path, line_end)
+    return read_stations(stations.sparkSession, path).select(STATION.fieldNames())
+
+
+def _station_scan(spark, sf_dir):
+    return _scanned(_stations(spark, sf_dir))
+
+
+def _on_station_files(operator):
+    """All stations against a file with CRLF line ends of every second one, of which every fourth has another dock count."""
+
+    def query(spark, sf_dir):
+        stations = _stations(spark, sf_dir)
+        docks = F.when(F.col("id") % 4 == 0, F.col("dock_count") + 1).otherwise(F.col("dock_count"))
+        other = stations.filter("id % 2 = 0").withColumn("dock_count", docks)
+        return operator(_scanned(stations), _scanned(other, "\r\n"))
+
+    return query
 
 
 def _on_registries(operator):
@@ -210,6 +231,12 @@ def _stream_hourly_tips(spark, sf_dir):
     return _zoneless(_replayed({"fares": _tip_fares(spark, sf_dir)}, tips.hourly_tips_max))
 
 
+def _stream_hourly_tips_late(spark, sf_dir):
+    """Every seventh fare lands a slice late: what its hour's end has passed by is dropped."""
+    fares = _tip_fares(spark, sf_dir, "event_id")
+    return _zoneless(_replayed({"fares": fares}, tips.hourly_tips_max, late=F.col("event_id") % 7 == 0))
+
+
 def _two(pair):
     return {"rides": pair[0], "fares": pair[1]}
 
@@ -225,16 +252,29 @@ def _stream_rides_waiting(spark, sf_dir):
     return _flat(read_waiting(spark, replay.checkpoint))
 
 
-def _stream_enrichment(spark, sf_dir):
-    return _flat(_replayed(_two(_repeating(spark, sf_dir)), stateful.enrichment_stream))
+# Every thirteenth record lands a slice late; the pairing takes it in all the same.
+_LATE = "event_id % 13 = 0"
 
 
-def _stream_unmatched_fares(spark, sf_dir):
-    outcomes = _replayed(
-        _two(_repeating(spark, sf_dir)), stateful.enrichment_stream, partition_by="outcome"
-    )
-    lone = enrichment.side_output(outcomes, UNMATCHED_FARE).select("fare.*")
-    return _zoneless(lone)
+def _stream_enrichment(on_duplicate):
+    def query(spark, sf_dir):
+        return _flat(_replayed(
+            _two(_repeating(spark, sf_dir)),
+            lambda rides, fares: stateful.enrichment_stream(rides, fares, on_duplicate),
+            late=F.expr(_LATE),
+        ))
+
+    return query
+
+
+def _stream_unmatched(tag, kind):
+    def query(spark, sf_dir):
+        outcomes = _replayed(
+            _two(_repeating(spark, sf_dir)), stateful.enrichment_stream, partition_by="outcome", late=F.expr(_LATE)
+        )
+        return _zoneless(enrichment.side_output(outcomes, tag).select(f"{kind}.*"))
+
+    return query
 
 
 def _on_unique_streams(operator):
@@ -263,6 +303,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unmatched_rides": _unmatched_rides,
         "unmatched_fares_within": _on_unique(enrichment.unmatched_fares_within, BOUND_SECONDS),
         "station_scan": _station_scan,
+        "station_intersect": _on_station_files(registry.registry_intersect),
+        "station_except": _on_station_files(registry.registry_except),
         "registry_union_all": _on_registries(registry.registry_union_all),
         "registry_union": _on_registries(registry.registry_union),
         "registry_intersect": _on_registries(registry.registry_intersect),
@@ -271,10 +313,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "registry_renumbered": _registry_renumbered,
         "stream_ride_cleansing": _stream_ride_cleansing,
         "stream_hourly_tips": _stream_hourly_tips,
+        "stream_hourly_tips_late": _stream_hourly_tips_late,
         "stream_rides_fares": _stream_rides_fares,
         "stream_rides_waiting": _stream_rides_waiting,
-        "stream_enrichment": _stream_enrichment,
-        "stream_unmatched_fares": _stream_unmatched_fares,
+        "stream_enrichment": _stream_enrichment("replace"),
+        "stream_enrichment_emit": _stream_enrichment("emit"),
+        "stream_unmatched_fares": _stream_unmatched(UNMATCHED_FARE, "fare"),
+        "stream_unmatched_rides": _stream_unmatched(UNMATCHED_RIDE, "ride"),
         "stream_rides_fares_within": _on_unique_streams(interval.rides_fares_within_stream),
         "stream_unmatched_fares_within": _on_unique_streams(
             interval.unmatched_fares_within_stream

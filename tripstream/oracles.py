@@ -1,21 +1,38 @@
 """DuckDB SQL for each query of the catalog, over the same tables."""
 
 from tripstream.catalog import BOUND_DAYS, BOX
+from tripstream.replay import SLICES
 
 _HOURLY = """
 SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
-       user_id AS driver_id, round(sum(value), 4) AS total_tips
-FROM events GROUP BY 1, 2
+       user_id AS driver_id,
+       round(sum(value::DECIMAL(28, 10)), 4)::DOUBLE AS total_tips
+FROM {events} GROUP BY 1, 2
 """
 
-_HOURLY_MAX = f"""
+_MAX = """
 SELECT window_end, driver_id, total_tips
 FROM (SELECT *, row_number() OVER (PARTITION BY window_end
                                    ORDER BY total_tips DESC, driver_id) AS rank
-      FROM ({_HOURLY}))
+      FROM ({hourly}))
 WHERE rank = 1
 """
 
+_HOURLY_OF_ALL = _HOURLY.format(events="events")
+_HOURLY_MAX = _MAX.format(hourly=_HOURLY_OF_ALL)
+
+# Every seventh fare lands a slice late, and is dropped if the watermark, a minute behind all that landed in earlier
+# slices, has reached the end of its hour by then.
+_HOURLY_MAX_LATE = _MAX.format(hourly=_HOURLY.format(events=f"""(
+  WITH timed AS (SELECT *, epoch_us(ts) AS us FROM events), landed AS (
+    SELECT timed.*, least(floor((us - lo) * {SLICES} / (hi - lo + 1))::INT + (event_id % 7 = 0)::INT, {SLICES} - 1) AS slice
+    FROM timed, (SELECT min(us) AS lo, max(us) AS hi FROM timed)
+  ), newest AS (
+    SELECT k AS slice, max(us) // 1000 - 60000 AS watermark FROM landed, range({SLICES} + 1) t(k) WHERE slice < k GROUP BY k
+  )
+  SELECT l.* FROM landed l LEFT JOIN newest n USING (slice)
+  WHERE n.watermark IS NULL OR (epoch_us(time_bucket(INTERVAL '1 hour', l.ts)) + 3600000000) // 1000 > n.watermark)"""))
+
 _PLACED = """
 SELECT event_id AS ride_id, event_type = 'view' AS is_start, ts AS event_time,
        (event_id * 7 % 401)::DOUBLE / 100 - 2 AS start_lon,
@@ -100,20 +117,21 @@ WITH a AS (SELECT c_nationkey AS nation, floor(c_acctbal / 1000)::BIGINT AS band
      b AS (SELECT s_nationkey AS nation, floor(s_acctbal / 1000)::BIGINT AS band FROM supplier)
 """
 
-# The expiry rules replayed: four slices of event time, each ended by a tick that carries the
-# watermark known by then. `timers` holds the due times of a user, those of replaced records too.
+# The expiry rules replayed: slices of event time, in which every thirteenth record lands one late, each ended by a
+# tick that carries the watermark known by then. `timers` holds the due times of a user, those of replaced records too.
+# `replaced` is whether a record that gives way to another is put out.
 _EXPIRED = """
 WITH RECURSIVE chosen AS (
   SELECT user_id, event_type, event_id, value, ts, epoch_us(ts) AS us
   FROM events WHERE event_type IN ('view', 'purchase')
 ), sliced AS (
-  SELECT c.*, floor((us - lo) * 4 / (hi - lo + 1))::INT AS slice
+  SELECT c.*, least(floor((us - lo) * {slices} / (hi - lo + 1))::INT + (event_id % 13 = 0)::INT, {slices} - 1) AS slice
   FROM chosen c, (SELECT min(us) AS lo, max(us) AS hi FROM chosen)
 ), newest AS (
   SELECT k AS slice,
          least(max(us) FILTER (event_type = 'view'), max(us) FILTER (event_type = 'purchase'))
            // 1000 - 60000 AS watermark
-  FROM sliced, range(4) t(k) WHERE slice <= k GROUP BY k
+  FROM sliced, range({slices}) t(k) WHERE slice <= k GROUP BY k
 ), entry AS (
   SELECT user_id, slice, event_type AS kind, event_id, us // 1000 AS due, us FROM sliced
   UNION ALL
@@ -137,11 +155,11 @@ WITH RECURSIVE chosen AS (
               WHEN act = 'pair' THEN list_filter(timers, lambda t: t <> held_due)
               ELSE list_filter(timers, lambda t: t > due) END,
          CASE WHEN act = 'pair' THEN 'matched'
-              WHEN act = 'expire' AND kind = 'view' THEN 'unmatched_ride'
-              WHEN act = 'expire' AND kind = 'purchase' THEN 'unmatched_fare' END,
-         CASE WHEN act IN ('pair', 'expire') AND kind = 'view' THEN held
+              WHEN act = 'expire' OR {replaced} AND act = 'wait'
+              THEN CASE kind WHEN 'view' THEN 'unmatched_ride' WHEN 'purchase' THEN 'unmatched_fare' END END,
+         CASE WHEN (act IN ('pair', 'expire') OR {replaced} AND act = 'wait') AND kind = 'view' THEN held
               WHEN act = 'pair' THEN event_id END,
-         CASE WHEN act IN ('pair', 'expire') AND kind = 'purchase' THEN held
+         CASE WHEN (act IN ('pair', 'expire') OR {replaced} AND act = 'wait') AND kind = 'purchase' THEN held
               WHEN act = 'pair' THEN event_id END
   FROM (SELECT s.user_id, i.n, s.kind, s.held, s.held_due, s.timers, i.kind AS new_kind,
                i.event_id, i.due,
@@ -153,24 +171,45 @@ WITH RECURSIVE chosen AS (
 )
 """
 
-_STREAM_OUTCOMES = _EXPIRED + """
+
+
+def _expired(replaced: bool = False) -> str:
+    return _EXPIRED.replace("{slices}", str(SLICES)).replace("{replaced}", str(replaced).lower())
+
+
+_OUTCOMES = """
 SELECT s.outcome, s.user_id AS ride_id, r.ts AS ride_event_time, s.ride AS ride_event_id,
        f.ts AS fare_event_time, s.fare AS fare_event_id, f.value AS fare_tip
 FROM step s LEFT JOIN events r ON r.event_id = s.ride LEFT JOIN events f ON f.event_id = s.fare
 WHERE s.outcome IS NOT NULL
 """
 
-_STREAM_UNMATCHED = _EXPIRED + """
-SELECT s.user_id AS ride_id, f.ts AS event_time, s.fare AS event_id, f.value AS tip
-FROM step s JOIN events f ON f.event_id = s.fare
-WHERE s.outcome = 'unmatched_fare'
+_STREAM_UNMATCHED = """
+SELECT s.user_id AS ride_id, e.ts AS event_time, e.event_id{more}
+FROM step s JOIN events e ON e.event_id = s.{kind}
+WHERE s.outcome = 'unmatched_{kind}'
+"""
+
+_STATIONS = """
+SELECT s_suppkey::INT AS id, s_name || ' (a/b, @c)' AS name,
+       (s_suppkey % 1801)::DOUBLE / 20 - 45 AS lat,
+       (s_suppkey % 3601)::DOUBLE / 20 - 90 AS long,
+       (s_suppkey % 9 * 4 + 11)::INT AS dock_count,
+       'City ' || s_nationkey AS city,
+       DATE '2013-08-06' + (s_suppkey % 900)::INT AS installation_date
+FROM supplier
+"""
+
+_OTHER_STATIONS = f"""
+SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN dock_count + 1 ELSE dock_count END AS dock_count)
+FROM ({_STATIONS}) WHERE id % 2 = 0
 """
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "hourly_tips_max": _HOURLY_MAX,
-        "tips_per_driver_hour": _HOURLY,
+        "tips_per_driver_hour": _HOURLY_OF_ALL,
         "ride_cleansing": _CLEANSED,
         "ride_starts": f"SELECT * FROM ({_PLACED}) WHERE is_start",
         "ride_starts_sampled": """
@@ -191,14 +230,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM ride r WHERE NOT EXISTS (FROM fare f WHERE r.ride_id = f.ride_id)""",
         "unmatched_fares_within": f"""{_UNIQUE}
             SELECT * FROM fare f WHERE NOT EXISTS (FROM ride r WHERE {_NEAR})""",
-        "station_scan": """
-            SELECT s_suppkey::INT AS id, s_name || ' (a/b, @c)' AS name,
-                   (s_suppkey % 1801)::DOUBLE / 20 - 45 AS lat,
-                   (s_suppkey % 3601)::DOUBLE / 20 - 90 AS long,
-                   (s_suppkey % 9 * 4 + 11)::INT AS dock_count,
-                   'City ' || s_nationkey AS city,
-                   DATE '2013-08-06' + (s_suppkey % 900)::INT AS installation_date
-            FROM supplier""",
+        "station_scan": _STATIONS,
+        "station_intersect": f"{_STATIONS} INTERSECT {_OTHER_STATIONS}",
+        "station_except": f"{_STATIONS} EXCEPT {_OTHER_STATIONS}",
         "registry_union_all": f"{_REGISTRIES} FROM a UNION ALL FROM b",
         "registry_union": f"{_REGISTRIES} FROM a UNION FROM b",
         "registry_intersect": f"{_REGISTRIES} FROM a INTERSECT FROM b",
@@ -221,10 +255,15 @@ def oracle_sql() -> dict[str, str]:
         "stream_hourly_tips": f"""
             SELECT * FROM ({_HOURLY_MAX})
             WHERE window_end <= (SELECT max(ts) - INTERVAL 60 SECOND FROM events)""",
+        "stream_hourly_tips_late": f"""
+            SELECT * FROM ({_HOURLY_MAX_LATE})
+            WHERE window_end <= (SELECT max(ts) - INTERVAL 60 SECOND FROM events)""",
         "stream_rides_fares": _PAIRS,
         "stream_rides_waiting": _WAITING,
-        "stream_enrichment": _STREAM_OUTCOMES,
-        "stream_unmatched_fares": _STREAM_UNMATCHED,
+        "stream_enrichment": _expired() + _OUTCOMES,
+        "stream_enrichment_emit": _expired(replaced=True) + _OUTCOMES,
+        "stream_unmatched_fares": _expired() + _STREAM_UNMATCHED.format(kind="fare", more=", e.value AS tip"),
+        "stream_unmatched_rides": _expired() + _STREAM_UNMATCHED.format(kind="ride", more=""),
         "stream_rides_fares_within": f"""{_UNIQUE}
             SELECT f.ride_id, {_FLAT} FROM fare f JOIN ride r ON {_NEAR}""",
         "stream_unmatched_fares_within": f"""{_UNIQUE}

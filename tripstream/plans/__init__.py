@@ -1,6 +1,6 @@
 """Shared folders and treatment of skewed keys."""
 
 from tripstream.plans.skew import HOT_ROWS, HotKeys, find_hot_keys
-from tripstream.plans.storage import new_folder
+from tripstream.plans.storage import new_folder, remove_derived
 
-__all__ = ["HOT_ROWS", "HotKeys", "find_hot_keys", "new_folder"]
+__all__ = ["HOT_ROWS", "HotKeys", "find_hot_keys", "new_folder", "remove_derived"]
