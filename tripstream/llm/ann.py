@@ -20,7 +20,7 @@ from tripstream.llm.common import stored
 from tripstream.llm.common_arrow import appended
 
 #: Trees, symbols of a string, and candidates (counted over all trees) with which the ascent ends.
-TREES, SYMBOLS, ENOUGH = 40, 3, 8192
+TREES, SYMBOLS, ENOUGH = 48, 3, 2048
 #: Dimensions of the cross-polytope; two symbols for each.
 SIDES = 64
 #: Rows of a range that are compared in one piece, and rows in a group of pieces.
