@@ -50,14 +50,20 @@ def written(frame: DataFrame) -> DataFrame:
 
 
 class Block:
-    """The texts of a block as one buffer, with ids and the places of its bytes."""
+    """The texts of a block as one buffer, with ids and the places of its bytes.
 
-    def __init__(self, rows: bytes, id_column: str, text_column: str):
+    copies: numbers of texts that a row with a smaller id repeats as a whole; nothing is looked for in them.
+    """
+
+    def __init__(self, rows: bytes, id_column: str, text_column: str, copies: list[int] | None = None):
         with pa.ipc.open_stream(rows) as reader:
             self.table = reader.read_all()
         texts = [t or b"" for t in self.table.column(text_column).cast(pa.binary()).to_pylist()]
         self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.starts = np.cumsum(self.lengths) - self.lengths
+        self.copies = copies or []
+        self.open = self.lengths.copy()
+        self.open[self.copies] = 0
         self.ids = self.table.column(id_column).cast(pa.int64()).fill_null(NO_ID).to_numpy()
         self.size = int(self.lengths.sum())
         self.buffer = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
@@ -65,9 +71,9 @@ class Block:
 
     def covered(self, period: int, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions in the cover with `length` bytes of their text from there on, and their texts' numbers."""
-        most = int(self.lengths.max(initial=0))
+        most = int(self.open.max(initial=0))
         places = (np.arange(0, most + 1, period)[:, None] + np.array(COVERS[period])).ravel()
-        counts = np.searchsorted(places, np.maximum(self.lengths - length + 1, 0))
+        counts = np.searchsorted(places, np.maximum(self.open - length + 1, 0))
         doc = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
         return self.starts[doc] + places[within], doc
@@ -124,6 +130,35 @@ def blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.mapInArrow(gather, "block long, bytes long, rows binary")
 
 
+def sorted_by(key: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """The order by key, and by check where keys collide."""
+    order = np.argsort(key)
+    key, check = key[order], check[order]
+    if ((key[1:] == key[:-1]) & (check[1:] != check[:-1])).any():
+        order = order[np.lexsort((check, key))]
+    return order
+
+
+def whole_copies(frame: DataFrame, names: tuple[str, str], span: int) -> DataFrame:
+    """For each block the numbers of its texts, of span bytes at least, that a row with a smaller id repeats as a whole."""
+
+    def run(batches):
+        for batch in batches:
+            for number, rows in zip(batch.column("block").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+                block = Block(rows, *names)
+                at = np.flatnonzero(block.lengths >= span)
+                texts = [block.buffer[a : a + n].tobytes() for a, n in zip(block.starts[at].tolist(), block.lengths[at].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(block.ids[at], pa.int64()),
+                     pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())],
+                    names=["block", "text", "id", "sha"],
+                )
+
+    texts = frame.mapInArrow(run, "block long, text int, id long, sha binary")
+    low = texts.groupBy("sha").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("sha", "low")
+    return texts.join(low, "sha").where("id > low").groupBy("block").agg(F.collect_list("text").alias("copies"))
+
+
 def slices(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """(bucket, from, to) of sorted 64-bit keys by their first bits."""
     if not len(keys):
@@ -159,8 +194,8 @@ def sampled(frame: DataFrame, names: tuple[str, str], period: int, length: int,
 
     def run(batches):
         for batch in batches:
-            for number, rows in zip(batch.column("block").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                hashes = cover_ranks(Block(rows, *names), period, length)[3]
+            for number, rows, copies in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "copies")), strict=True):
+                hashes = cover_ranks(Block(rows, *names, copies), period, length)[3]
                 found = [(bucket, np.unique(part_of(hashes[a:b], bits)).tobytes()) for bucket, a, b in slices(hashes, bits)]
                 n = len(found)
                 yield pa.RecordBatch.from_arrays(
@@ -191,8 +226,8 @@ def candidates(frame: DataFrame, names: tuple[str, str], span: int, period: int,
     def run(batches):
         for batch in batches:
             out = []
-            for number, rows, flags in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "flags")), strict=True):
-                block = Block(rows, *names)
+            for number, rows, copies, flags in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "copies", "flags")), strict=True):
+                block = Block(rows, *names, copies)
                 at, doc, place, hashes, shared = cover_ranks(block, period, length)
                 known = {f["bucket"]: f["bits"] for f in flags or []}
                 for bucket, a, b in slices(hashes, bits):
@@ -208,13 +243,18 @@ def candidates(frame: DataFrame, names: tuple[str, str], span: int, period: int,
                 reach = np.maximum.accumulate(last) if len(last) else last
                 begin = np.append(True, first[1:] > reach[:-1] + 1) if len(first) else np.zeros(0, bool)
                 runs = np.stack((first[begin], reach[np.append(begin[1:], True)] if len(first) else last)) if len(first) else np.zeros((2, 0), np.int64)
-                out.append((number, rows, runs.astype("<i8").tobytes(), int((runs[1] - runs[0] + 1).sum())))
+                out.append((number, rows, copies, runs.astype("<i8").tobytes(), int((runs[1] - runs[0] + 1).sum())))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, (pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)],
-                names=["block", "rows", "runs", "suffixes"],
+                [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.int64()), strict=True)],
+                names=["block", "rows", "copies", "runs", "suffixes"],
             )
 
-    return frame.mapInArrow(run, "block long, rows binary, runs binary, suffixes long")
+    return frame.mapInArrow(run, "block long, rows binary, copies array<int>, runs binary, suffixes long")
+
+
+def turn_of(keys: np.ndarray) -> np.ndarray:
+    """A turn sorts the keys of a range; TURNS is a power of two."""
+    return (keys >> np.uint64(65 - TURNS.bit_length())).astype(np.int64) if TURNS > 1 else np.zeros(len(keys), np.int64)
 
 
 class Suffixes:
@@ -226,10 +266,10 @@ class Suffixes:
         at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
         key, check = block.hashes(at, span, check=True)
         if turn is not None:
-            mine = key % np.uint64(TURNS) == turn
+            mine = turn_of(key) == turn
             at, key, check = at[mine], key[mine], check[mine]
         doc = np.searchsorted(block.starts, at, side="right") - 1
-        order = np.lexsort((check, key))
+        order = sorted_by(key, check)
         self.at, self.key, self.check, self.ids = at[order], key[order], check[order], block.ids[doc[order]]
         self.starts = groups_of(self.key, self.check)
         self.low = np.minimum.reduceat(self.ids, self.starts) if len(self.starts) else self.ids
@@ -261,39 +301,39 @@ def shipped(frame: DataFrame, names: tuple[str, str], span: int, turn: int, bits
     return frame.mapInArrow(run, "bucket int, block long, base long, keys binary, checks binary, ids binary")
 
 
-def ranked(turn: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        """Of one bucket: for each block a bit for each key, set if a text of another block with a smaller id has the string."""
-        keys = [np.frombuffer(k, np.uint64) for k in frame["keys"]]
-        ids = np.concatenate([
-            np.frombuffer(i, np.int64) if pd.isna(b) else np.frombuffer(i, np.uint32).astype(np.int64) + int(b)
-            for i, b in zip(frame["ids"], frame["base"], strict=True)
-        ])
-        key, check = np.concatenate(keys), np.concatenate([np.frombuffer(c, np.uint32) for c in frame["checks"]])
-        order = np.lexsort((check, key))
-        starts = groups_of(key[order], check[order])
-        flags = np.empty(len(key), bool)
-        flags[order] = ids[order] > spread(np.minimum.reduceat(ids[order], starts), starts, len(key))
-        ends = np.cumsum([len(k) for k in keys])
-        bits = [np.packbits(f).tobytes() for f in np.split(flags, ends[:-1])]
-        return pd.DataFrame({"block": frame["block"], "turn": turn, "bucket": frame["bucket"], "bits": bits})
-
-    return run
+def ranked(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: for each block a bit for each key, set if a text of another block with a smaller id has the string."""
+    keys = [np.frombuffer(k, np.uint64) for k in frame["keys"]]
+    ids = np.concatenate([
+        np.frombuffer(i, np.int64) if pd.isna(b) else np.frombuffer(i, np.uint32).astype(np.int64) + int(b)
+        for i, b in zip(frame["ids"], frame["base"], strict=True)
+    ])
+    key, check = np.concatenate(keys), np.concatenate([np.frombuffer(c, np.uint32) for c in frame["checks"]])
+    order = sorted_by(key, check)
+    starts = groups_of(key[order], check[order])
+    flags = np.empty(len(key), bool)
+    flags[order] = ids[order] > spread(np.minimum.reduceat(ids[order], starts), starts, len(key))
+    ends = np.cumsum([len(k) for k in keys])
+    bits = [np.packbits(f).tobytes() for f in np.split(flags, ends[:-1])]
+    return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"], "bits": bits})
 
 
 def cut(block: Block, runs: bytes, span: int, bits: int, flags: list) -> np.ndarray:
     """Which bytes of the block are removed."""
-    known = {(f["turn"], f["bucket"]): f["bits"] for f in flags or []}
+    known = {f["bucket"]: f["bits"] for f in flags or []}
     edge = np.zeros(block.size + 1, np.int32)
-    for turn in range(TURNS) if runs else ():
-        suffixes = Suffixes(block, runs, span, turn)
+    if runs:
+        suffixes = Suffixes(block, runs, span, None)
         other = np.zeros(len(suffixes.starts), bool)
         for bucket, a, b in slices(suffixes.key[suffixes.starts], bits):
-            other[a:b] = np.unpackbits(np.frombuffer(known[turn, bucket], np.uint8), count=b - a)
+            other[a:b] = np.unpackbits(np.frombuffer(known[bucket], np.uint8), count=b - a)
         low = spread(suffixes.low, suffixes.starts, len(suffixes.key))
         repeated = suffixes.at[(suffixes.ids > low) | spread(other, suffixes.starts, len(suffixes.key))]
-        edge[repeated] += 1  # a position occurs once in a turn
+        edge[repeated] += 1  # a position occurs once
         edge[repeated + span] -= 1
+    for copy in block.copies:
+        edge[block.starts[copy]] += 1
+        edge[block.starts[copy] + block.lengths[copy]] -= 1
     return np.cumsum(edge)[:-1] > 0
 
 
@@ -307,7 +347,7 @@ def repeated_passages_removed(
     than all others. Repeated rows with one id remove nothing from each other. Texts shorter than span stay.
     Columns that bear an added name are replaced. An empty table gives an empty table.
 
-    A block's suffixes are reduced to their distinct strings before they travel, so a passage in a third of all rows puts
+    A text that a smaller id repeats as a whole goes as a whole, before suffixes are looked at. A block's suffixes are reduced to their distinct strings before they travel, so a passage in a third of all rows puts
     one entry a block into its bucket. Equal means equal in 96 bits of hash. A task holds a block or a bucket; the largest block is the longest text.
     """
     if not 20 <= span <= 256:
@@ -316,23 +356,24 @@ def repeated_passages_removed(
     period = max(p for p in COVERS if p <= span - 12)
     names = (id_column, text_column)
     docs = docs.drop(*ADDED, "kept_sha256")
-    stored = written(blocks(docs, *names))
+    gathered = written(blocks(docs, *names))
+    stored = written(gathered.join(whole_copies(gathered, names, span), "block", "left"))
     total = stored.agg(F.sum("bytes")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, total * len(COVERS[period]) / period / BUCKET))))
     samples = sampled(stored, names, period, span - period + 1, bits)
     flags = written(samples.groupBy("bucket").applyInPandas(flagged, "block long, bucket int, bits binary"))
     answers = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("flags"))
-    marked = written(candidates(stored.select("block", "rows").join(answers, "block", "left"), names, span, period, bits))
+    marked = written(candidates(stored.select("block", "rows", "copies").join(answers, "block", "left"), names, span, period, bits))
     suffixes = marked.agg(F.sum("suffixes")).first()[0] or 0
-    fine = max(0, math.ceil(math.log2(max(1, suffixes / TURNS / BUCKET))))
+    fine = max(TURNS.bit_length() - 1, math.ceil(math.log2(max(1, suffixes / BUCKET))))  # a bucket lies in one turn
     turns = [
-        written(shipped(marked, names, span, turn, fine).groupBy("bucket").applyInPandas(ranked(turn), "block long, turn int, bucket int, bits binary"))
+        written(shipped(marked, names, span, turn, fine).groupBy("bucket").applyInPandas(ranked, "block long, bucket int, bits binary"))
         for turn in range(TURNS)
     ]
     found = turns[0]
     for more in turns[1:]:
         found = found.unionByName(more)
-    answers = found.groupBy("block").agg(F.collect_list(F.struct("turn", "bucket", "bits")).alias("flags"))
+    answers = found.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("flags"))
 
     kept = [c for c in docs.columns if keep_text or c != text_column]
     last = ("kept_bytes", T.BinaryType(), pa.binary()) if keep_text else ("kept_sha256", T.StringType(), pa.string())
@@ -343,8 +384,8 @@ def repeated_passages_removed(
 
     def finish(batches):
         for batch in batches:
-            for rows, runs, flags in zip(*(batch.column(c).to_pylist() for c in ("rows", "runs", "flags")), strict=True):
-                block = Block(rows, *names)
+            for rows, copies, runs, flags in zip(*(batch.column(c).to_pylist() for c in ("rows", "copies", "runs", "flags")), strict=True):
+                block = Block(rows, *names, copies)
                 gone = cut(block, runs, span, fine, flags)
                 columns = ([], [], [], [])
                 for start, length in zip(block.starts.tolist(), block.lengths.tolist(), strict=True):
@@ -357,7 +398,7 @@ def repeated_passages_removed(
                 for piece in block.table.select(kept).combine_chunks().to_batches():
                     yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=schema.names)
 
-    return marked.select("block", "rows", "runs").join(answers, "block", "left").mapInArrow(finish, schema)
+    return marked.select("block", "rows", "copies", "runs").join(answers, "block", "left").mapInArrow(finish, schema)
 
 
 def drop_repeated_passages(
