@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tripstream.llm.common_arrow import appended, texts_of
-from tripstream.llm.pretokens import PieceCache
+from tripstream.llm.pretokens import PieceCache, held
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 NEVER = np.iinfo(np.int64).max
@@ -183,6 +183,8 @@ class ByteBpe:
 
     def cut(self, text: str) -> list:
         """The text's words, and for special strings their ids."""
+        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return [text]
         if self.specials is not None and "<" in text and self.specials.search(text):
             parts = self.specials.split(text)
             return [x for p in parts for x in ([self.special[p]] if p in self.special else self.words.findall(p))]
@@ -206,7 +208,7 @@ class ByteBpe:
             ids = np.insert(ids, np.cumsum(counts)[at], [w for _, w in special])
             counts[at] = 1
         raw = ids.astype("<u4").tobytes()
-        ends = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum([len(c) for c in cut]))] * 4
+        ends = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum([len(c) for c in cut], dtype=np.int64))] * 4
         return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def decoded(self, ids: list[int]) -> str:
@@ -219,18 +221,20 @@ def shared_bpe(vocabulary: str) -> ByteBpe:
     return ByteBpe(vocabulary)
 
 
-@functools.cache
 def id_cache(vocabulary: str) -> PieceCache:
     """Ids of pieces as little-endian unsigned 32-bit bytes."""
-    return PieceCache(lambda pieces: [np.array(i, "<u4").tobytes() for i in shared_bpe(vocabulary).pieces(pieces)])
+
+    def values(pieces):
+        return [np.array(i, "<u4").tobytes() for i in shared_bpe(vocabulary).pieces(pieces)]
+
+    return held(("ids", vocabulary), lambda: PieceCache(values))
 
 
-@functools.cache
 def digest_cache(vocabulary: str) -> PieceCache:
     def values(pieces):
         return [(",".join(map(str, i)), np.array(i, "<u4").tobytes()) for i in shared_bpe(vocabulary).pieces(pieces)]
 
-    return PieceCache(values, limit=250_000)
+    return held(("digests", vocabulary), lambda: PieceCache(values, limit=150_000))
 
 
 def encode(docs: DataFrame, text_column: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

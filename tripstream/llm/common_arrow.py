@@ -8,9 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tripstream.llm.pretokens import give_back
+
 ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(),
          "boolean": pa.bool_()}
 
+#: Rows worked on at a time, so that what a batch is turned into needn't be held whole.
+ROWS = 500
+
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a batch; null as the empty string."""
@@ -28,8 +33,10 @@ def appended(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             made = [pa.array(v, k) for v, k in zip(work(batch), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), *made], names=[*names, *added])
+        del work
+        give_back()
 
     return docs.mapInArrow(run, T.StructType(fields))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tripstream.llm.common import stored
 from tripstream.llm.common_arrow import appended
 from tripstream.llm.components import components
+from tripstream.llm.pretokens import let_go
 
 BITS = 64
 #: Fingerprints that a bucket holds on average; larger buckets are compared tile by tile of TILE.
@@ -44,6 +45,8 @@ def fingerprinted(docs: DataFrame, text_column: str, shingle: int, seed: int, ke
     """The columns of docs in keep with the fingerprint as a signed long, __print; null text counts as empty."""
 
     def make():
+        let_go()
+
         def work(batch):
             texts = batch.column(text_column).cast(pa.binary()).to_pylist()
             prints = np.array([fingerprint(t or b"", shingle, seed) for t in texts], np.uint64)

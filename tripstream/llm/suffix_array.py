@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripstream.llm.common import shared_folder
+from tripstream.llm.pretokens import give_back, let_go
 
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
 #: Perfect difference sets, in which every shift below the period occurs.
@@ -109,6 +110,7 @@ def spread(values: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
 def blocks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Rows gathered into blocks; a row's columns travel as a compressed Arrow stream."""
     def gather(batches):
+        let_go()
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -193,6 +195,7 @@ def sampled(frame: DataFrame, names: tuple[str, str], period: int, length: int,
     """For each block and bucket the cover strings' hashes, each once."""
 
     def run(batches):
+        let_go()
         for batch in batches:
             for number, rows, copies in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "copies")), strict=True):
                 hashes = cover_ranks(Block(rows, *names, copies), period, length)[3]
@@ -297,6 +300,7 @@ def shipped(frame: DataFrame, names: tuple[str, str], span: int, turn: int, bits
                      *(pa.array([f[i] for f in found], pa.binary()) for i in (1, 2, 3))],
                     names=["bucket", "block", "base", "keys", "checks", "ids"],
                 )
+        give_back()
 
     return frame.mapInArrow(run, "bucket int, block long, base long, keys binary, checks binary, ids binary")
 
@@ -397,6 +401,7 @@ def repeated_passages_removed(
                 made = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), last[2]), strict=True)]
                 for piece in block.table.select(kept).combine_chunks().to_batches():
                     yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=schema.names)
+        give_back()
 
     return marked.select("block", "rows", "copies", "runs").join(answers, "block", "left").mapInArrow(finish, schema)
 

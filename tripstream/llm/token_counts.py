@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import os
 
 import public_tokenizers
@@ -10,7 +9,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tripstream.llm.common_arrow import appended, texts_of
-from tripstream.llm.pretokens import PieceCache
+from tripstream.llm.pretokens import PieceCache, held
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LIMIT = 2048
@@ -49,10 +48,8 @@ class TokenCounter:
         return found
 
 
-@functools.cache
 def count_cache(vocabulary: str) -> PieceCache:
-    """Kept by a worker process from task to task."""
-    return PieceCache(TokenCounter(vocabulary).counts)
+    return held(("counts", vocabulary), lambda: PieceCache(TokenCounter(vocabulary).counts))
 
 
 def token_counts(docs: DataFrame, text_column: str = "text", vocabulary: str = VOCABULARY, limit: int = LIMIT) -> DataFrame:
