@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.support import awkward_texts, by_id, documents, empty
 from tripstream.llm import bpe, packing, token_counts
+from tripstream.llm.piece_table import PieceTable
 from tripstream.llm.pretokens import PieceCache
 
 
@@ -30,6 +31,17 @@ def test_ids_equal_the_library_s(byte_level):
     assert own.decoded([0, 1, 222, 50256]) == byte_level.decode([0, 1, 222, 50256], skip_special_tokens=False)
 
 
+def test_the_table_of_pieces_begins_afresh_and_bears_long_and_odd_ones():
+    texts = [t or "" for t in awkward_texts(3)] + ["a\0b \0", "\0", "x" * 40 + " " + "x" * 40]
+    own = bpe.shared_bpe(bpe.VOCABULARY)
+    wanted = [b"".join(v) for v in PieceCache(own.merged_pieces).of(texts)]
+    for limit in (30, 100_000):
+        table = PieceTable(own.merged_pieces, limit=limit)
+        for _ in range(3):
+            assert [i for at in range(0, len(texts), 7) for i in table.of(texts[at : at + 7])] == wanted
+    assert table.of([]) == []
+
+
 def test_round_trip_digests(spark, byte_level):
     texts = awkward_texts()
     found = bpe.round_trip_digests(documents(spark, texts))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import zlib
 
 import numpy as np
@@ -15,18 +14,18 @@ from pyspark.sql import types as T
 
 from tripstream.llm.bpe import shared_bpe
 from tripstream.llm.common import stored
-from tripstream.llm.common_arrow import appended, texts_of
-from tripstream.llm.pretokens import PieceCache
+from tripstream.llm.common_arrow import ROWS, appended, texts_of
+from tripstream.llm.piece_table import PieceTable
+from tripstream.llm.pretokens import held, let_go
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 2048
 END = 1
 
 
-@functools.cache
-def merged_cache(vocabulary: str) -> PieceCache:
-    """Ids of pieces, the same as the tokenizers library gives; kept by a worker process from task to task."""
-    return PieceCache(shared_bpe(vocabulary).merged_pieces, limit=300_000)
+def table_of_ids(vocabulary: str) -> PieceTable:
+    """Ids of pieces, the same as the tokenizers library gives."""
+    return held(("table", vocabulary), lambda: PieceTable(shared_bpe(vocabulary).merged_pieces))
 
 
 def tokenised(docs: DataFrame, id_column: str, text_column: str, vocabulary: str, end: int) -> DataFrame:
@@ -34,11 +33,11 @@ def tokenised(docs: DataFrame, id_column: str, text_column: str, vocabulary: str
     last = np.array([end], "<u4").tobytes()
 
     def make():
-        cache, part, total = merged_cache(vocabulary), TaskContext.get().partitionId(), 0
+        table, part, total = table_of_ids(vocabulary), TaskContext.get().partitionId(), 0
 
         def work(batch):
             nonlocal total
-            ids = [b"".join(values) + last for values in cache.of(texts_of(batch, text_column))]
+            ids = [i + last for i in table.of(texts_of(batch, text_column))]
             counts = [len(i) // 4 for i in ids]
             starts = [total, *(total + np.cumsum(counts, dtype=np.int64)).tolist()]
             total = starts.pop()
@@ -80,7 +79,8 @@ def pack(
         schema = schema.add(name, of)
 
     def cut(batches):
-        for batch in batches:
+        let_go()
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             rows, columns = [], [[] for _ in schema.fields[1:]]
             for i, (at, count, ids) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("__at", "__tokens", "__ids")), strict=True)):
                 view, start = memoryview(ids), 0
