@@ -141,11 +141,16 @@ def sorted_by(key: np.ndarray, check: np.ndarray) -> np.ndarray:
     return order
 
 
+def one_by_one(batches):
+    """A block at a time, so that a worker never holds copies of a whole batch of them."""
+    return (batch.slice(at, 1) for batch in batches for at in range(batch.num_rows))
+
+
 def whole_copies(frame: DataFrame, names: tuple[str, str], span: int) -> DataFrame:
     """For each block the numbers of its texts, of span bytes at least, that a row with a smaller id repeats as a whole."""
 
     def run(batches):
-        for batch in batches:
+        for batch in one_by_one(batches):
             for number, rows in zip(batch.column("block").to_pylist(), batch.column("rows").to_pylist(), strict=True):
                 block = Block(rows, *names)
                 at = np.flatnonzero(block.lengths >= span)
@@ -196,7 +201,7 @@ def sampled(frame: DataFrame, names: tuple[str, str], period: int, length: int,
 
     def run(batches):
         let_go()
-        for batch in batches:
+        for batch in one_by_one(batches):
             for number, rows, copies in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "copies")), strict=True):
                 hashes = cover_ranks(Block(rows, *names, copies), period, length)[3]
                 found = [(bucket, np.unique(part_of(hashes[a:b], bits)).tobytes()) for bucket, a, b in slices(hashes, bits)]
@@ -227,7 +232,7 @@ def candidates(frame: DataFrame, names: tuple[str, str], span: int, period: int,
     length = span - period + 1
 
     def run(batches):
-        for batch in batches:
+        for batch in one_by_one(batches):
             out = []
             for number, rows, copies, flags in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "copies", "flags")), strict=True):
                 block = Block(rows, *names, copies)
@@ -282,7 +287,7 @@ def shipped(frame: DataFrame, names: tuple[str, str], span: int, turn: int, bits
     """For each block and bucket of a turn the keys, checks and smallest ids of its suffixes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in one_by_one(batches):
             for number, rows, runs in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "runs")), strict=True):
                 if not runs:
                     continue
@@ -387,7 +392,7 @@ def repeated_passages_removed(
     schema = schema.add(last[0], last[1])
 
     def finish(batches):
-        for batch in batches:
+        for batch in one_by_one(batches):
             for rows, copies, runs, flags in zip(*(batch.column(c).to_pylist() for c in ("rows", "copies", "runs", "flags")), strict=True):
                 block = Block(rows, *names, copies)
                 gone = cut(block, runs, span, fine, flags)
