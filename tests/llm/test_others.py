@@ -72,6 +72,15 @@ def test_neighbours_recall_below_the_root(spark, monkeypatch):
     assert hits >= 0.9 * 5 * len(wanted)
 
 
+def test_neighbours_ascend_until_the_measured_recall_is_reached(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=32).tolist()) for i in range(4000)]
+    found = ann.neighbours(vectors(spark, rows), F.col("vec_id") % 50 == 0, enough=16).collect()
+    wanted = brute_neighbours(rows, lambda i: i % 50 == 0, 5)
+    hits = sum(r["vec_id"] in wanted[r["query_id"]] for r in found)
+    assert hits >= 0.9 * 5 * len(wanted)
+
+
 def test_perspectives(spark):
     rows = [
         (1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "ann", "é"), (1, 700, None, "?"), (1, None, "bob", "first"),

@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstream.llm.common import stored
-from tripstream.llm.common_arrow import appended
+from tripstream.llm.common_arrow import ROWS, appended
 
-#: Trees, symbols of a string, and candidates (counted over all trees) with which the ascent ends.
+#: Trees, symbols of a string, and candidates (counted over all trees) with which the ascent ends at the earliest.
 TREES, SYMBOLS, ENOUGH = 48, 3, 2048
+#: Recall that the ascent has to reach, and queries that it is measured on.
+RECALL, MEASURED = 0.9, 128
 #: Dimensions of the cross-polytope; two symbols for each.
 SIDES = 64
 #: Rows of a range that are compared in one piece, and rows in a group of pieces.
@@ -85,6 +87,80 @@ def ranges(rows: DataFrame, level: int, trees: int, symbols: int, *columns: str)
     )
 
 
+def measured(index: DataFrame, asked: DataFrame, k: int, trees: int, symbols: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """MEASURED queries against the whole index, in one pass: for each query its candidates at levels 1 to `symbols` (counted
+    over all trees), and for its true k nearest rows the longest prefix they share with it in any tree."""
+    sample = asked.orderBy(F.xxhash64("id"), "id").limit(MEASURED).select("id", "size", "bytes", "codes").collect()
+    sizes = np.array([r["size"] for r in sample])
+    by_size = {}
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        table = np.stack([np.frombuffer(sample[i]["bytes"], "<f8") for i in at])
+        # Symbols first, so that a level is a contiguous table.
+        codes = np.stack([np.frombuffer(sample[i]["codes"], np.uint8).reshape(trees, symbols).T for i in at])
+        by_size[size] = at, np.array([sample[i]["id"] for i in at]), table / np.linalg.norm(table, axis=1, keepdims=True), codes
+    shared = index.sparkSession.sparkContext.broadcast((len(sample), by_size))
+
+    def run(batches):
+        n, groups = shared.value
+        counts = np.zeros((n, symbols), np.int64)
+        best = {size: [np.full((len(at), k), fill, kind) for fill, kind in ((-np.inf, float), (0, np.int64), (0, np.int64))] for size, (at, *_) in groups.items()}
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            lengths, ids = batch.column("size").to_numpy(), batch.column("id").to_numpy()
+            raw, strings = batch.column("bytes").to_pylist(), batch.column("codes").to_pylist()
+            for size, (at, own_ids, own, own_codes) in groups.items():
+                rows = np.flatnonzero(lengths == size)
+                if not len(rows):
+                    continue
+                table = np.frombuffer(b"".join([raw[i] for i in rows]), "<f8").reshape(-1, size)
+                codes = np.frombuffer(b"".join([strings[i] for i in rows]), np.uint8).reshape(-1, trees, symbols).transpose(2, 0, 1).copy()
+                level = np.zeros((len(at), len(rows)), np.int64)
+                for i in range(len(at)):
+                    same = True
+                    for j in range(symbols):
+                        same = (codes[j] == own_codes[i, j]) & same
+                        counts[at[i], j] += np.count_nonzero(same)
+                        level[i] += same.any(1)
+                score = own @ (table / np.linalg.norm(table, axis=1, keepdims=True)).T
+                score[own_ids[:, None] == ids[rows]] = -np.inf
+                new = score, np.broadcast_to(ids[rows], score.shape), level
+                joined = [np.concatenate(pair, 1) for pair in zip(best[size], new, strict=True)]
+                top = np.argpartition(-joined[0], k - 1, 1)[:, :k]
+                best[size] = [np.take_along_axis(x, top, 1) for x in joined]
+        out = [(q, j + 1, int(counts[q, j]), None, None) for q in range(n) for j in range(symbols)]
+        for size, (at, *_) in groups.items():
+            score, ids, level = best[size]
+            out += [(int(at[i]), int(level[i, j]), None, int(ids[i, j]), float(score[i, j])) for i, j in np.argwhere(score > -np.inf)]
+        kinds = {"query": pa.int32(), "level": pa.int32(), "count": pa.int64(), "id": pa.int64(), "score": pa.float64()}
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], names=[*kinds])
+
+    counts, levels = np.zeros((len(sample), symbols), np.int64), [[] for _ in sample]
+    if sample:
+        seen = stored(index.select("id", "size", "bytes", "codes").mapInArrow(run, "query int, level int, count long, id long, score double"))
+        for r in seen.where("id IS NULL").groupBy("query", "level").agg(F.sum("count").alias("sum")).collect():
+            counts[r["query"], r["level"] - 1] = r["sum"]
+        best = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
+        for r in seen.where("id IS NOT NULL").withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).collect():
+            levels[r["query"]].append(r["level"])
+    return counts, [np.array(x) for x in levels]
+
+
+def recalls(counts: np.ndarray, levels: list[np.ndarray], enough: int) -> np.ndarray:
+    """For each measured query with neighbours the share of them among its candidates if the ascent ends at `enough`."""
+    ends = (counts >= enough).sum(1)
+    return np.array([(x >= end).mean() for x, end in zip(levels, ends.tolist(), strict=True) if len(x)])
+
+
+def raised(counts: np.ndarray, levels: list[np.ndarray], enough: int, recall: float) -> int:
+    """`enough`, doubled until the measured recall, less two standard errors, is reached; at the root it always is."""
+    while (counts >= enough).any():
+        shares = recalls(counts, levels, enough)
+        if not len(shares) or shares.mean() - 2 * shares.std() / len(shares) ** 0.5 >= recall:
+            break
+        enough *= 2
+    return enough
+
+
 def nearest_in(k: int):
     """Of one group of pieces: for each query the k nearest rows of its pieces, ties to the smaller id."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -127,7 +203,7 @@ def nearest_in(k: int):
 
 def neighbours(
     vectors: DataFrame, queries: Column, id_column: str = "vec_id", vector_column: str = "embedding", k: int = 5,
-    trees: int = TREES, symbols: int = SYMBOLS, enough: int = ENOUGH, seed: int = 7,
+    trees: int = TREES, symbols: int = SYMBOLS, enough: int = ENOUGH, seed: int = 7, recall: float = RECALL,
 ) -> DataFrame:
     """For the rows that the condition `queries` picks, the k nearest other rows by cosine: query_id, rank, vec_id, score.
 
@@ -136,7 +212,8 @@ def neighbours(
     that repeats its id; copies under other ids are. With fewer rows than k all are returned, for an empty table none.
     Other columns are left out.
 
-    The hash functions are random, so nothing is fitted; recall rises with trees and enough. Of exact copies the k + 1 smallest
+    The hash functions are random. Where the ascent ends is measured: MEASURED queries are compared with the whole table, and `enough` is
+    doubled until their recall is surely above `recall`, if need be up to the root, where all rows are compared. Of exact copies the k + 1 smallest
     ids stand for all, which loses no result and keeps copies from filling ranges; Spark limits these groups before its shuffle. A range is dealt
     in pieces of CHUNK rows, and its queries go to each, so no group grows with the input.
     """
@@ -145,6 +222,7 @@ def neighbours(
     first = Window.partitionBy("vector").orderBy("id")
     index = stored(hashed(rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1), trees, symbols, seed))
     active = asked = stored(hashed(rows.where("asks").dropDuplicates(["id"]), trees, symbols, seed))
+    enough = raised(*measured(index, asked, k, trees, symbols), enough, recall)
     pieces = F.ceil(F.col("count") / CHUNK).cast("int")
     wanted: list[DataFrame] = []
     for level in range(symbols, -1, -1):
