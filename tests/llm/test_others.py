@@ -72,6 +72,15 @@ def test_neighbours_recall_below_the_root(spark, monkeypatch):
     assert hits >= 0.9 * 5 * len(wanted)
 
 
+def test_neighbours_with_repeated_rows(spark):
+    rng = np.random.default_rng(12)
+    same = rng.normal(size=8).tolist()
+    rows = [(1, same)] * 6 + [(i, same) for i in range(2, 10)] + [(i, rng.normal(size=8).tolist()) for i in range(10, 40)] * 2
+    found = ann.neighbours(vectors(spark, rows), F.col("vec_id").isin(1, 2, 20)).collect()
+    got = {q: [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (1, 2, 20)}
+    assert got == brute_neighbours(rows, lambda i: i in (1, 2, 20), 5)
+
+
 def test_neighbours_ascend_until_the_measured_recall_is_reached(spark):
     rng = np.random.default_rng(11)
     rows = [(i, rng.normal(size=32).tolist()) for i in range(4000)]

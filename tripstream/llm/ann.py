@@ -213,14 +213,14 @@ def neighbours(
     Other columns are left out.
 
     The hash functions are random. Where the ascent ends is measured: MEASURED queries are compared with the whole table, and `enough` is
-    doubled until their recall is surely above `recall`, if need be up to the root, where all rows are compared. Of exact copies the k + 1 smallest
+    doubled until their recall is surely above `recall`, if need be up to the root, where all rows are compared. Repeated rows (id and vector) count once. Of exact copies the k + 1 smallest
     ids stand for all, which loses no result and keeps copies from filling ranges; Spark limits these groups before its shuffle. A range is dealt
     in pieces of CHUNK rows, and its queries go to each, so no group grows with the input.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("vector"), queries.alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable("vector"))
     first = Window.partitionBy("vector").orderBy("id")
-    index = stored(hashed(rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1), trees, symbols, seed))
+    index = stored(hashed(rows.select("id", "vector").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1), trees, symbols, seed))
     active = asked = stored(hashed(rows.where("asks").dropDuplicates(["id"]), trees, symbols, seed))
     enough = raised(*measured(index, asked, k, trees, symbols), enough, recall)
     pieces = F.ceil(F.col("count") / CHUNK).cast("int")
