@@ -81,6 +81,14 @@ def test_neighbours_with_repeated_rows(spark):
     assert got == brute_neighbours(rows, lambda i: i in (1, 2, 20), 5)
 
 
+def test_neighbours_of_a_rare_dimension(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.normal(size=40).tolist()) for i in range(2000)] + [(i, rng.normal(size=64).tolist()) for i in range(3000, 3030)]
+    found = ann.neighbours(vectors(spark, rows), F.col("vec_id") % 10 == 0, enough=500).collect()
+    got = {q: [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (3000, 3010, 3020)}
+    assert got == brute_neighbours(rows, lambda i: i in got, 5)
+
+
 def test_neighbours_ascend_until_the_measured_recall_is_reached(spark):
     rng = np.random.default_rng(11)
     rows = [(i, rng.normal(size=32).tolist()) for i in range(4000)]

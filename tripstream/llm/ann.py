@@ -25,6 +25,8 @@ TREES, SYMBOLS, ENOUGH = 48, 3, 2048
 RECALL, MEASURED = 0.9, 128
 #: Dimensions of the cross-polytope; two symbols for each.
 SIDES = 64
+#: What tells ranges apart; vectors of different dimensions share none.
+RANGE = ["level", "tree", "size", "prefix"]
 #: Rows of a range that are compared in one piece, and rows in a group of pieces.
 CHUNK, GROUP = 16_384, 65_536
 
@@ -56,7 +58,7 @@ def usable(vector: str) -> Column:
 
 
 def hashed(rows: DataFrame, trees: int, symbols: int, seed: int) -> DataFrame:
-    """id, vector (little-endian doubles) and strings, a vector's dimension first among them."""
+    """id, size (the vector's dimension), bytes (the vector in little-endian doubles) and codes (its strings)."""
 
     def make():
         def work(batch):
@@ -79,10 +81,10 @@ def hashed(rows: DataFrame, trees: int, symbols: int, seed: int) -> DataFrame:
 
 
 def ranges(rows: DataFrame, level: int, trees: int, symbols: int, *columns: str) -> DataFrame:
-    """For each row and tree the prefix of `level` symbols; at level 0 one tree is the whole table."""
+    """For each row and tree its dimension and the prefix of `level` symbols; at level 0 one tree is all rows of a dimension."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1 if level else 0)))
-    return rows.select(*columns, "codes", tree.alias("tree")).select(
-        *columns, F.lit(level).alias("level"), "tree",
+    return rows.select(*columns, "size", "codes", tree.alias("tree")).select(
+        *columns, F.lit(level).alias("level"), "tree", "size",
         F.substring("codes", F.col("tree") * symbols + 1, F.lit(level)).alias("prefix"),
     )
 
@@ -226,29 +228,29 @@ def neighbours(
     pieces = F.ceil(F.col("count") / CHUNK).cast("int")
     wanted: list[DataFrame] = []
     for level in range(symbols, -1, -1):
-        counts = ranges(index, level, trees, symbols).groupBy("level", "tree", "prefix").count()
-        found = ranges(active, level, trees, symbols, "id").join(counts, ["level", "tree", "prefix"])
+        counts = ranges(index, level, trees, symbols).groupBy(*RANGE).count()
+        found = ranges(active, level, trees, symbols, "id").join(counts, RANGE)
         if level:
             sums = found.groupBy("id").agg(F.sum("count").alias("sum")).where(F.col("sum") >= enough)
             found = found.join(sums.select("id"), "id", "left_semi")
-        found = stored(found.select("id", "level", "tree", "prefix", pieces.alias("pieces")))
+        found = stored(found.select("id", *RANGE, pieces.alias("pieces")))
         active = active.join(found.select("id").distinct(), "id", "left_anti")
         if not found.isEmpty():
             wanted.append(found)
     if not wanted:
         return index.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     probes = functools.reduce(DataFrame.unionByName, wanted)
-    used = probes.groupBy("level", "tree", "prefix").agg(F.first("pieces").alias("pieces"))
-    spread = [ranges(index, f.first()["level"], trees, symbols, "id", "size", "bytes") for f in wanted]
+    used = probes.groupBy(*RANGE).agg(F.first("pieces").alias("pieces"))
+    spread = [ranges(index, f.first()["level"], trees, symbols, "id", "bytes") for f in wanted]
     groups = max(1, index.count() * trees * len(wanted) // GROUP)
 
     def run(piece: Column) -> Column:
-        return F.xxhash64("level", "tree", "prefix", piece)
+        return F.xxhash64(*RANGE, piece)
 
     def grouped(frame: DataFrame) -> DataFrame:
         return frame.withColumn("group", F.pmod(F.hash("run"), F.lit(groups))).groupBy("group")
 
-    rows = functools.reduce(DataFrame.unionByName, spread).join(used, ["level", "tree", "prefix"]).select(
+    rows = functools.reduce(DataFrame.unionByName, spread).join(used, RANGE).select(
         "id", "size", "bytes", run(F.pmod(F.hash("id"), "pieces")).alias("run")
     )
     asking = probes.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
