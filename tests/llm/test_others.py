@@ -143,6 +143,12 @@ def test_language_of_awkward_rows(spark):
     assert language_id.identify_language(empty(spark)).count() == 0
 
 
+def test_documents_stay_where_no_language_was_learned(spark):
+    docs = documents(spark, ["clean words", None, "", "12 34", "日本語"]).withColumn("lang", F.lit(None).cast("string"))
+    kept = language_id.drop_unidentified(docs)
+    assert set(by_id(kept, "text").values()) == {"clean words", "日本語"} and kept.columns == docs.columns
+
+
 def test_forward_sums_all_segmentations():
     keys = language_id.piece_keys(language_id.VOCABULARY)
     weights = np.append(np.random.default_rng(0).random(len(keys)), 0)[:, None]
