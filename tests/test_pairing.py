@@ -154,3 +154,17 @@ def test_unique_ids_join_as_they_pair(spark):
     joined = pairing.rides_fares_join(rides, fares)
     paired = pairing.rides_fares_pairs(rides, fares)
     assert sorted(joined.collect()) == sorted(paired.collect())
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_hot_records_that_differ_in_microseconds_stay_apart(spark, kind):
+    rides = spark.range(3).select(
+        F.lit(0).cast("long").alias("ride_id"), F.lit(T0).alias("event_time"),
+        F.expr("timestamp_micros(1700000000000001 + id)").cast(kind).alias("started"),
+    )
+    fares = rides.where(F.col("started").cast("timestamp") == F.expr("timestamp_micros(1700000000000003)"))
+    found = [
+        [sorted(map(str, f(rides, fares, hot).collect())) for f in (pairing.rides_fares_pairs, pairing.rides_fares_waiting)]
+        for hot in (HotKeys([], 0, 1), HotKeys([0], 4, 2))
+    ]
+    assert found[0] == found[1] and len(found[0][0]) == 1

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from tripstream.plans import HOT_ROWS, HotKeys, find_hot_keys, new_folder
 
 
+#: Text of timestamps down to the microsecond and the second of the offset; Spark's own ends at milliseconds.
+_WHOLE_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _order() -> list[Column]:
     """At one instant rides come before fares; the payload makes the order total."""
     return [F.col("event_time"), F.col("is_ride").desc(), F.col("ride"), F.col("fare")]
@@ -109,7 +113,7 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     # Their text tells apart what grouping would take as equal (0.0 and -0.0), and a record comes out as it went in.
     told_apart = (
         events.filter(is_hot)
-        .groupBy("ride_id", "event_time", "is_ride", F.to_json(F.struct("ride", "fare")).alias("text"))
+        .groupBy("ride_id", "event_time", "is_ride", F.to_json(F.struct("ride", "fare"), _WHOLE_TIMES).alias("text"))
         .agg(F.first("ride").alias("ride"), F.first("fare").alias("fare"), copies)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
         .select(events.columns)
