@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tripstream.llm import ann, bpe, chat, exact_dedup, language_id, line_dedup, packing, simhash, suffix_array, token_counts
+from tripstream.llm import (
+    ann, bpe, chat, exact_dedup, language_id, line_dedup, packing, sentence_pieces, simhash, suffix_array, token_counts,
+)
 
 
 def queries() -> dict:
@@ -17,6 +19,7 @@ def queries() -> dict:
         "op8_suffix_array": suffix_array.op8_suffix_array,
         "op9_bpe": bpe.op9_bpe,
         "op10_token_counts": token_counts.op10_token_counts,
+        "op13_sentencepiece": sentence_pieces.op13_sentencepiece,
     }
 
 
