@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tripstream.llm import (
-    ann, bpe, chat, exact_dedup, importance, language_id, line_dedup, packing, sentence_pieces, simhash, suffix_array, token_counts,
+    ann, bpe, chat, exact_dedup, importance, language_id, line_dedup, packing, repair, sentence_pieces, simhash, suffix_array,
+    token_counts,
 )
 
 
@@ -19,6 +20,7 @@ def queries() -> dict:
         "op8_suffix_array": suffix_array.op8_suffix_array,
         "op9_bpe": bpe.op9_bpe,
         "op10_token_counts": token_counts.op10_token_counts,
+        "op11_repair": repair.op11_repair,
         "op12_importance": importance.op12_importance,
         "op13_sentencepiece": sentence_pieces.op13_sentencepiece,
     }
@@ -29,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat": chat.OP2_SQL,
         "op3_exact_dedup": exact_dedup.OP3_SQL,
         "op4_line_dedup": line_dedup.OP4_SQL,
+        "op11_repair": repair.OP11_SQL,
         "op12_importance": importance.OP12_SQL,
     }
