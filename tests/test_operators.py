@@ -179,3 +179,22 @@ def test_renumbered(spark):
         "id int, name string, lat double",
     )
     assert bag(registry.registry_renumbered(old, new)) == [(1, 91), (2, 93), (3, 2)]
+
+
+AWKWARD = ("ride_id long, event_time timestamp, aside long, bucket long, at long, record string, known_id long, near string, fare string,"
+           " near_id long, __aside long, fare_at long, fare_bucket long, tags map<string,array<map<int,double>>>")
+
+
+def awkward(spark, ids, **tags):
+    rows = [(i, None if i == 7 else at_second(n), 5, 6, 7, "r", 8, "n", "f", 9, 1, 2, 3, {"a": [{n: 1.0}]}) for n, i in enumerate(ids)]
+    return spark.createDataFrame(rows, AWKWARD)
+
+
+def test_joins_bear_maps_and_every_name(spark):
+    rides, fares = awkward(spark, [1, 2, None, None, 5]), awkward(spark, [1, 3, None, 7, 5])
+    found = {(r.outcome, r.ride_id) for r in enrichment.enrichment_outcomes(rides, fares).collect()}
+    assert found == {("matched", 1), ("matched", 5), ("unmatched_ride", 2), ("unmatched_ride", None), ("unmatched_fare", 3), ("unmatched_fare", None), ("unmatched_fare", 7)}
+    for left, lone in ((enrichment.unmatched_fares(rides, fares), fares), (enrichment.unmatched_fares_within(rides, fares, 10), fares), (enrichment.unmatched_rides(rides, fares), rides)):
+        assert left.schema == lone.schema
+        expected = [r for r in lone.collect() if r.ride_id not in (1, 5)]
+        assert sorted(left.collect(), key=repr) == sorted(expected, key=repr)

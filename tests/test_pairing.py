@@ -168,3 +168,12 @@ def test_hot_records_that_differ_in_microseconds_stay_apart(spark, kind):
         for hot in (HotKeys([], 0, 1), HotKeys([0], 4, 2))
     ]
     assert found[0] == found[1] and len(found[0][0]) == 1
+
+
+def test_records_with_maps_are_ordered_by_their_entries(spark):
+    kind = "ride_id long, event_time timestamp, tags map<string,array<map<int,string>>>, no long"
+    rides = spark.createDataFrame([(1, T0, {"b": None, "a": [{1: "x"}]}, 1), (1, T0, {"a": [{1: "y"}], "b": None}, 2), (1, T0, None, 3)], kind)
+    fares = spark.createDataFrame([(1, T0, {"c": []}, 4)], kind)
+    for hot in (None, HotKeys([1], 4, 1)):
+        found, rest = got(pairing.rides_fares_pairs(rides, fares, hot), pairing.rides_fares_waiting(rides, fares, hot))
+        assert found == [(1, 2, 4)] and rest == {}

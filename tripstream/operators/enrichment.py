@@ -11,11 +11,14 @@ from tripstream.schemas import MATCHED, UNMATCHED_FARE, UNMATCHED_RIDE
 
 
 def _aside(*needed: str) -> Column:
-    """A second join key: 0, but for records that lack a key and so match nothing, a hash that spreads them over all tasks."""
+    """A second join key: 0, but for records that lack a key and so match nothing, a hash that spreads them over all tasks.
+
+    The hash is of the record's text, which, unlike the record, may hold maps.
+    """
     lacking = F.col(needed[0]).isNull()
     for name in needed[1:]:
         lacking = lacking | F.col(name).isNull()
-    return F.when(lacking, F.xxhash64("*")).otherwise(F.lit(0))
+    return F.when(lacking, F.xxhash64(F.to_json(F.struct("*")))).otherwise(F.lit(0).cast("long"))
 
 
 def enrichment_outcomes(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -39,9 +42,11 @@ def side_output(outcomes: DataFrame, tag: str) -> DataFrame:
 
 def unmatched_fares(rides: DataFrame, fares: DataFrame) -> DataFrame:
     """Fares whose id no ride has, those without id too. Each input is scanned once; a repeated ride id is sent once a task."""
-    known = rides.filter("ride_id IS NOT NULL").select(F.col("ride_id").alias("known_id"), F.lit(0).cast("long").alias("known_aside")).distinct()
-    kept = fares.withColumn("__aside", _aside("ride_id"))
-    return kept.join(known, (F.col("ride_id") == F.col("known_id")) & (F.col("__aside") == F.col("known_aside")), "left_anti").drop("__aside")
+    keys = ["ride_id", "aside"]
+    known = rides.filter("ride_id IS NOT NULL").select("ride_id", F.lit(0).cast("long").alias("aside")).distinct()
+    # As one column, a record keeps whatever names its fields have.
+    records = fares.select("ride_id", _aside("ride_id").alias("aside"), F.struct("*").alias("record"))
+    return records.join(known, keys, "left_anti").select("record.*")
 
 
 def unmatched_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -66,27 +71,23 @@ def unmatched_fares_within(rides: DataFrame, fares: DataFrame, bound_seconds: in
     nearest = (
         rides.filter("ride_id IS NOT NULL AND event_time IS NOT NULL")
         .select("ride_id", at.alias("at"), F.explode(steps).alias("step"))
-        .groupBy(
-            F.col("ride_id").alias("near_id"),
-            (bucket_start(F.col("at"), width) + F.col("step") * width).alias("near_bucket"),
-        )
+        .groupBy("ride_id", (bucket_start(F.col("at"), width) + F.col("step") * width).alias("bucket"))
         .agg(
             F.bool_or(F.col("step") == 0).alias("inside"),
             F.max(F.when(F.col("step") == 1, F.col("at"))).alias("latest_before"),
             F.min(F.when(F.col("step") == -1, F.col("at"))).alias("earliest_after"),
         )
     )
-    near_side = nearest.withColumn("near_aside", F.lit(0).cast("long"))
-    keyed = fares.withColumn("fare_aside", _aside("ride_id", "event_time")).withColumn("fare_at", at).withColumn(
-        "fare_bucket", bucket_start(F.col("fare_at"), width)
-    )
+    near_side = nearest.withColumn("aside", F.lit(0).cast("long")).alias("near")
+    keyed = fares.select(
+        "ride_id", bucket_start(at, width).alias("bucket"), _aside("ride_id", "event_time").alias("aside"), at.alias("at"),
+        F.struct("*").alias("record"),
+    ).alias("fare")
     near = (
-        F.col("inside")
-        | (F.col("fare_at") - F.col("latest_before") <= bound)
-        | (F.col("earliest_after") - F.col("fare_at") <= bound)
-    )
-    same = (
-        (F.col("ride_id") == F.col("near_id")) & (F.col("fare_bucket") == F.col("near_bucket"))
-        & (F.col("fare_aside") == F.col("near_aside"))
+        F.col("near.inside")
+        | (F.col("fare.at") - F.col("near.latest_before") <= bound)
+        | (F.col("near.earliest_after") - F.col("fare.at") <= bound)
     )
-    return keyed.join(near_side, same & near, "left_anti").drop("fare_at", "fare_bucket", "fare_aside")
+    for key in ("ride_id", "bucket", "aside"):
+        near = near & (F.col(f"fare.{key}") == F.col(f"near.{key}"))
+    return keyed.join(near_side, near, "left_anti").select("record.*")

@@ -15,6 +15,7 @@ row per slice.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripstream.functions import orderable
 from tripstream.plans import HOT_ROWS, HotKeys, find_hot_keys, new_folder
 
 
@@ -22,9 +23,14 @@ from tripstream.plans import HOT_ROWS, HotKeys, find_hot_keys, new_folder
 _WHOLE_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _order() -> list[Column]:
-    """At one instant rides come before fares; the payload makes the order total."""
-    return [F.col("event_time"), F.col("is_ride").desc(), F.col("ride"), F.col("fare")]
+def _order(events: DataFrame) -> list[Column]:
+    """At one instant rides come before fares; the payload makes the order total. Rounds, where events have them, come one after the other."""
+    payload = [orderable(F.col(c), events.schema[c].dataType) for c in ("ride", "fare")]
+    return [*_rounds(events), F.col("event_time"), F.col("is_ride").desc(), *payload]
+
+
+def _rounds(events: DataFrame) -> list[Column]:
+    return [F.col("round")] if "round" in events.columns else []
 
 
 _PLACED = "ride_id IS NOT NULL AND event_time IS NOT NULL"
@@ -59,7 +65,7 @@ def _in_one_layout(rides: DataFrame, fares: DataFrame) -> DataFrame:
 
 def _scanned(events: DataFrame, *group: str) -> DataFrame:
     """Adds what each event can know from its own group: place, run begin, previous record."""
-    order = Window.partitionBy(*group).orderBy(*_order())
+    order = Window.partitionBy(*group).orderBy(*_order(events))
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begins = F.col("prior_is_ride").isNull() | (F.col("prior_is_ride") == F.col("is_ride"))
     placed = events.select(
@@ -113,7 +119,7 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     # Their text tells apart what grouping would take as equal (0.0 and -0.0), and a record comes out as it went in.
     told_apart = (
         events.filter(is_hot)
-        .groupBy("ride_id", "event_time", "is_ride", F.to_json(F.struct("ride", "fare"), _WHOLE_TIMES).alias("text"))
+        .groupBy("ride_id", *_rounds(events), "event_time", "is_ride", F.to_json(F.struct("ride", "fare"), _WHOLE_TIMES).alias("text"))
         .agg(F.first("ride").alias("ride"), F.first("fare").alias("fare"), copies)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
         .select(events.columns)
@@ -123,10 +129,10 @@ def _settled(events: DataFrame, hot: HotKeys) -> DataFrame:
     # on them is written down before it is used twice.
     slices = 4 * hot.rows // hot.limit + 2
     cut = (
-        told_apart.repartitionByRange(slices, "ride_id", *_order())
+        told_apart.repartitionByRange(slices, "ride_id", *_order(events))
         .withColumn("slice", F.spark_partition_id())
     )
-    head = F.first("is_ride").over(Window.partitionBy("ride_id", "slice").orderBy(*_order()))
+    head = F.first("is_ride").over(Window.partitionBy("ride_id", "slice").orderBy(*_order(events)))
     spark, written = events.sparkSession, new_folder(events.sparkSession, "slices")
     _scanned(cut, "ride_id", "slice").withColumn("head", head).write.parquet(written)
     scanned = spark.read.parquet(written)
@@ -160,7 +166,11 @@ def settled(rides: DataFrame, fares: DataFrame, hot: HotKeys | None = None, min_
 
     Building it runs jobs: a scan for hot ids, unless `hot` has them, and with hot ids the writing of their slices.
     """
-    events = tagged(rides, fares)
+    return settled_events(tagged(rides, fares), hot, min_rows)
+
+
+def settled_events(events: DataFrame, hot: HotKeys | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+    """As `settled`, for tagged events. Where they have a column `round`, the events of a lower one come first, whatever their time."""
     return _settled(events, find_hot_keys(events, "ride_id", min_rows) if hot is None else hot)
 
 

@@ -34,9 +34,11 @@ def _stamped(rides: DataFrame, fares: DataFrame) -> DataFrame:
 
 
 def _spark_order(value: Any) -> tuple:
-    """Sorts as Spark does: nulls first, NaN last, structs and arrays part by part."""
+    """Sorts as Spark does: nulls first, NaN last, structs and arrays part by part; maps by their entries in order."""
     if value is None:
         return (0,)
+    if isinstance(value, dict):
+        return 1, sorted([_spark_order(k), _spark_order(v)] for k, v in value.items())
     if isinstance(value, (tuple, list)):
         return 1, [_spark_order(v) for v in value]
     if isinstance(value, float) and value != value:
