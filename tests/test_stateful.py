@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -5,9 +6,12 @@ import pytest
 from pyspark.sql import Row
 
 from tests.models import replay_expiry, replay_pairing
-from tests.streams import at_second, land_events, outcomes, pairing_player
+from tests.streams import T0, at_second, land_events, outcomes, pairing_player
+from tests.test_pairing import frames, in_order, random_events
+from tripstream.operators import pairing
 from tripstream.operators.enrichment import side_output
-from tripstream.streaming.sinks import read_waiting
+from tripstream.sources import read_stream
+from tripstream.streaming.sinks import FASTEST, SLOWEST, read_timers, read_waiting, start_tagged_sinks
 from tripstream.streaming import stateful
 from tripstream.streaming.stateful import enrichment_stream, rides_fares_stream
 
@@ -169,3 +173,76 @@ def test_large_groups_are_sorted_outside_memory(monkeypatch):
     monkeypatch.setattr(stateful, "_SORT_MEMORY", 1)
     assert list(stateful._in_order(iter(rows))) == sorted(rows, key=stateful._arrival)
     assert list(stateful._in_order(iter(rows[:99]))) == sorted(rows[:99], key=stateful._arrival)
+
+
+def test_timers_and_past_states_can_be_read(spark, tmp_path):
+    player = pairing_player(spark, tmp_path, enrichment_stream)
+    land_events(player, [(1, 10_000_000, False, 1), (1, 20_000_000, False, 2), (2, 15_000_000, True, 3), (3, 900_000_000, True, 4)])
+    player.advance()
+    land_events(player, [(2, 16_000_000, False, 5), (4, 30_000_000, False, 6)])
+    player.advance()
+    checkpoint = f"{player.folder}/checkpoint"
+
+    def timers(batch=None):
+        return sorted((r.ride_id, r.due.timestamp()) for r in read_timers(spark, checkpoint, batch).collect())
+
+    def held(batch=None):
+        return sorted((r.ride_id, (r.ride or r.fare).no) for r in read_waiting(spark, checkpoint, batch).collect())
+
+    # The fare that was replaced has left its timer behind; a match deletes its own.
+    first = [(k, T0.timestamp() + s) for k, s in ((1, 10), (1, 20), (2, 15), (3, 900))]
+    assert timers(0) == first and held(0) == [(1, 2), (2, 3), (3, 4)]
+    assert timers() == sorted([t for t in first if t[0] != 2] + [(4, T0.timestamp() + 30)]) and held() == [(1, 2), (3, 4), (4, 6)]
+
+
+@pytest.mark.parametrize(("moved_by", "expected"), [(SLOWEST, []), (FASTEST, [("unmatched_fare", 1, None, 1), ("unmatched_fare", 2, None, 2)])])
+def test_the_fastest_input_can_move_time(spark, tmp_path, moved_by, expected):
+    player = pairing_player(spark, tmp_path, enrichment_stream, time_moved_by=moved_by)
+    land_events(player, [(9, 0, True, 0), (1, 1_000_000, False, 1)])
+    player.advance()
+    # Rides are silent from here on.
+    land_events(player, [(2, 500_000_000, False, 2), (3, 900_000_000, False, 3)])
+    player.advance()
+    out = [o for o in outcomes(player.results()) if o[0] == "unmatched_fare"]
+    assert out == expected
+
+
+def test_a_stream_begun_from_a_tables_remainder_goes_on(spark, tmp_path):
+    events = random_events(21, 600, 40, 0.1, 500)
+    early, late = (in_order([e for e in events if (e[1] < 250) == first]) for first in (True, False))
+    done = pairing.settled(*frames(spark, early))
+    waiting = pairing.waiting_of(done)
+    player = pairing_player(spark, tmp_path, lambda rides, fares: rides_fares_stream(rides, fares, begun=waiting), max_delay=None)
+    for part in (late[:200], late[200:]):  # the second start goes on from the checkpoint
+        land_events(player, part)
+        player.advance()
+    pairs, rest, _ = replay_pairing(early + late)
+    got = [(r.ride_id, r.ride.no, r.fare.no) for df in (pairing.pairs_of(done), player.results()) for r in df.collect()]
+    assert sorted(got) == sorted(pairs)
+    assert {r.ride_id: (r.ride is not None, (r.ride or r.fare).no) for r in read_waiting(spark, f"{player.folder}/checkpoint").collect()} == rest
+
+
+def test_tags_go_to_tables_of_their_own_once(spark, tmp_path):
+    tags = {t: f"{tmp_path}/{t}" for t in ("unmatched_fare", "unmatched_ride")}
+    player = pairing_player(spark, tmp_path, enrichment_stream)
+    land_events(player, [(1, 10_000_000, False, 1), (2, 15_000_000, True, 3), (3, 900_000_000, True, 4), (3, 900_000_000, False, 5)])
+    streams = {n: read_stream(spark, f"{player.folder}/in/{n}", spark.createDataFrame([], s).schema) for n, s in player.schemas.items()}
+    fails = iter([True])
+
+    class Failing(dict):
+        def items(self):  # the second table's write of the first batch with rows fails once
+            for n, (value, path) in enumerate(super().items()):
+                if n and os.path.exists(f"{tags['unmatched_fare']}/batch=1") and next(fails, False):
+                    raise RuntimeError("fails between two tables")
+                yield value, path
+
+    for paths in (Failing(tags), tags):
+        query = start_tagged_sinks(enrichment_stream(**streams), "outcome", paths, f"{tmp_path}/tagged", until_caught_up=True)
+        try:
+            query.awaitTermination()
+            assert paths is tags
+        except Exception as error:
+            assert "between two tables" in str(error)
+    for tag, expected in (("unmatched_fare", [(1, None, 1)]), ("unmatched_ride", [(2, 3, None)])):
+        rows = spark.read.parquet(tags[tag]).collect()
+        assert [(r.ride_id, r.ride and r.ride.no, r.fare and r.fare.no) for r in rows] == expected

@@ -16,8 +16,8 @@ from tripstream.plans import new_folder
 from tripstream.replay import Replay
 from tripstream.schemas import STATION, UNMATCHED_FARE, UNMATCHED_RIDE
 from tripstream.sources import read_stations, read_table, write_stations
-from tripstream.streaming import interval, stateful
-from tripstream.streaming.sinks import read_waiting
+from tripstream.streaming import batches, interval, stateful
+from tripstream.streaming.sinks import FASTEST, read_waiting
 
 # No bounds of the region are given anywhere; these suit the coordinates derived below.
 BOX = Box(west=-1.0, south=-1.0, east=1.0, north=1.0)
@@ -238,7 +238,7 @@ def _stream_hourly_tips_late(spark, sf_dir):
 
 
 def _two(pair):
-    return {"rides": pair[0], "fares": pair[1]}
+    return dict(zip(("rides", "fares"), pair, strict=True))
 
 
 def _stream_rides_fares(spark, sf_dir):
@@ -254,6 +254,8 @@ def _stream_rides_waiting(spark, sf_dir):
 
 # Every thirteenth record lands a slice late; the pairing takes it in all the same.
 _LATE = "event_id % 13 = 0"
+# The test tables are numbered in the order of time.
+_FIRST_HALF = "event_time < timestamp '2024-01-16'"
 
 
 def _stream_enrichment(on_duplicate):
@@ -277,6 +279,35 @@ def _stream_unmatched(tag, kind):
     return query
 
 
+def _in_batches(read):
+    """Pairing that settles each micro-batch as a table, into a store of pairs and of what waits."""
+
+    def query(spark, sf_dir):
+        replay = Replay(_two(_repeating(spark, sf_dir)), pairing.tagged, max_delay=None, start=batches.start_store)
+        replay.play()
+        return _flat(read(spark, replay.results, replay.stream().schema))
+
+    return query
+
+
+def _stream_rides_fares_begun(spark, sf_dir):
+    """The first half settled as a table; what waits at its end is the state that a stream of the second half begins with."""
+    rides, fares = _repeating(spark, sf_dir)
+    done = pairing.settled(rides.filter(_FIRST_HALF), fares.filter(_FIRST_HALF))
+    later = _two(df.filter(f"NOT {_FIRST_HALF}") for df in (rides, fares))
+    waiting = pairing.waiting_of(done)
+    rest = _replayed(later, lambda rides, fares: stateful.rides_fares_stream(rides, fares, begun=waiting), max_delay=None)
+    return _flat(pairing.pairs_of(done).unionByName(rest))
+
+
+def _stream_enrichment_fastest(spark, sf_dir):
+    """Rides fall silent after half of the time; fares alone move the watermark from then on."""
+    rides, fares = _repeating(spark, sf_dir)
+    return _flat(_replayed(
+        _two((rides.filter(_FIRST_HALF), fares)), stateful.enrichment_stream, late=F.expr(_LATE), time_moved_by=FASTEST,
+    ))
+
+
 def _on_unique_streams(operator):
     def query(spark, sf_dir):
         result = _replayed(
@@ -316,6 +347,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_hourly_tips_late": _stream_hourly_tips_late,
         "stream_rides_fares": _stream_rides_fares,
         "stream_rides_waiting": _stream_rides_waiting,
+        "stream_rides_fares_batches": _in_batches(batches.read_pairs),
+        "stream_rides_waiting_batches": _in_batches(batches.read_states),
+        "stream_rides_fares_begun": _stream_rides_fares_begun,
+        "stream_enrichment_fastest": _stream_enrichment_fastest,
         "stream_enrichment": _stream_enrichment("replace"),
         "stream_enrichment_emit": _stream_enrichment("emit"),
         "stream_unmatched_fares": _stream_unmatched(UNMATCHED_FARE, "fare"),

@@ -69,7 +69,7 @@ def _scanned(events: DataFrame, *group: str) -> DataFrame:
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begins = F.col("prior_is_ride").isNull() | (F.col("prior_is_ride") == F.col("is_ride"))
     placed = events.select(
-        *group, "event_time", "is_ride", "ride", "fare",
+        *group, *_rounds(events), "event_time", "is_ride", "ride", "fare",
         F.row_number().over(order).cast("bigint").alias("pos"),
         F.lag("is_ride").over(order).alias("prior_is_ride"),
         F.lag("ride").over(order).alias("prior_ride"),

@@ -1,5 +1,7 @@
 """DuckDB SQL for each query of the catalog, over the same tables."""
 
+import functools
+
 from tripstream.catalog import BOUND_DAYS, BOX
 from tripstream.replay import SLICES
 
@@ -123,13 +125,13 @@ WITH a AS (SELECT c_nationkey AS nation, floor(c_acctbal / 1000)::BIGINT AS band
 _EXPIRED = """
 WITH RECURSIVE chosen AS (
   SELECT user_id, event_type, event_id, value, ts, epoch_us(ts) AS us
-  FROM events WHERE event_type IN ('view', 'purchase')
+  FROM events WHERE event_type IN ('view', 'purchase') AND {chosen}
 ), sliced AS (
   SELECT c.*, least(floor((us - lo) * {slices} / (hi - lo + 1))::INT + (event_id % 13 = 0)::INT, {slices} - 1) AS slice
   FROM chosen c, (SELECT min(us) AS lo, max(us) AS hi FROM chosen)
 ), newest AS (
   SELECT k AS slice,
-         least(max(us) FILTER (event_type = 'view'), max(us) FILTER (event_type = 'purchase'))
+         {moved_by}(max(us) FILTER (event_type = 'view'), max(us) FILTER (event_type = 'purchase'))
            // 1000 - 60000 AS watermark
   FROM sliced, range({slices}) t(k) WHERE slice <= k GROUP BY k
 ), entry AS (
@@ -172,9 +174,9 @@ WITH RECURSIVE chosen AS (
 """
 
 
-
-def _expired(replaced: bool = False) -> str:
-    return _EXPIRED.replace("{slices}", str(SLICES)).replace("{replaced}", str(replaced).lower())
+def _expired(replaced: bool = False, moved_by: str = "least", chosen: str = "true") -> str:
+    values = {"slices": SLICES, "replaced": str(replaced).lower(), "moved_by": moved_by, "chosen": chosen}
+    return functools.reduce(lambda sql, name: sql.replace(f"{{{name}}}", str(values[name])), values, _EXPIRED)
 
 
 _OUTCOMES = """
@@ -260,6 +262,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE window_end <= (SELECT max(ts) - INTERVAL 60 SECOND FROM events)""",
         "stream_rides_fares": _PAIRS,
         "stream_rides_waiting": _WAITING,
+        "stream_rides_fares_batches": _PAIRS,
+        "stream_rides_waiting_batches": _WAITING,
+        "stream_rides_fares_begun": _PAIRS,
+        "stream_enrichment_fastest": _expired(
+            moved_by="greatest", chosen="(event_type = 'purchase' OR ts < TIMESTAMP '2024-01-16')") + _OUTCOMES,
         "stream_enrichment": _expired() + _OUTCOMES,
         "stream_enrichment_emit": _expired(replaced=True) + _OUTCOMES,
         "stream_unmatched_fares": _expired() + _STREAM_UNMATCHED.format(kind="fare", more=", e.value AS tip"),

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tripstream.plans import new_folder
 from tripstream.schemas import MAX_DELAY
@@ -20,7 +21,7 @@ class Replay:
 
     The span between the first and last event is cut into SLICES equal ones. Each slice is written where the query looks
     for files, and the query takes it in from its checkpoint and stops: only a query that starts after a slice has landed
-    sees all of it, of both inputs, as one micro-batch. `late` says which rows land a slice after their time; rows without a
+    sees all of it, of both inputs, as one micro-batch. `late` says which rows land a slice after their time; `start` and `sink` how the query is started. Rows without a
     time land with the first slice. Tables without rows give an empty result.
     """
 
@@ -31,6 +32,8 @@ class Replay:
         max_delay: str | None = MAX_DELAY,
         partition_by: str | None = None,
         late: Column | None = None,
+        start: Callable[..., StreamingQuery] = start_sink,
+        **sink,
     ):
         self.inputs = inputs
         self.spark = next(iter(inputs.values())).sparkSession
@@ -39,10 +42,15 @@ class Replay:
         self.checkpoint = f"{self.folder}/checkpoint"
         #: Rows without a time, by input, once played.
         self.untimed: dict[str, int] = {}
-        self._build, self._max_delay, self._partition_by, self._late = build, max_delay, partition_by, late
+        self._build, self._max_delay, self._late = build, max_delay, late
+        self._start, self._sink = start, sink if partition_by is None else {**sink, "partition_by": partition_by}
 
     def run(self) -> DataFrame:
         """Plays everything and returns what the query put out."""
+        self.play()
+        return self.spark.read.schema(self.stream().schema).parquet(self.results)
+
+    def play(self) -> None:
         at = F.unix_micros("event_time")
         span = [F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.when(at.isNull(), 1)).alias("untimed")]
         found = {name: df.agg(*span).first() for name, df in self.inputs.items()}
@@ -54,20 +62,14 @@ class Replay:
         for number in range(SLICES):
             for name, df in self.inputs.items():
                 df.filter(part == number).write.mode("append").parquet(f"{self.folder}/landed/{name}")
-            self._take_in()
-        return self.spark.read.schema(self._stream().schema).parquet(self.results)
+            self._start(self.stream(), self.results, self.checkpoint, until_caught_up=True, **self._sink).awaitTermination()
 
-    def _stream(self) -> DataFrame:
+    def stream(self) -> DataFrame:
         return self._build(**{
             name: read_stream(self.spark, f"{self.folder}/landed/{name}", df.schema, max_delay=self._max_delay)
             for name, df in self.inputs.items()
         })
 
-    def _take_in(self) -> None:
-        start_sink(
-            self._stream(), self.results, self.checkpoint, until_caught_up=True, partition_by=self._partition_by
-        ).awaitTermination()
-
 
 def slice_of(at: Column, first: int, length: int, count: int) -> Column:
     """Number of the equal span of time that holds `at`."""

@@ -1,9 +1,12 @@
 """Running a stream into files, and reading results and kept state back."""
 
 import threading
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -13,6 +16,9 @@ _STATE = {
 }
 # Fixed value: the interval between checkpoints of a running stream.
 CHECKPOINT_INTERVAL = "10 seconds"
+#: Which input moves the watermark where there are several.
+SLOWEST, FASTEST = "slowest", "fastest"
+_POLICY = {SLOWEST: "min", FASTEST: "max"}
 # Held while a session bears a query's settings, so that threads don't take over each other's.
 _STARTING = threading.Lock()
 
@@ -26,6 +32,7 @@ def start_sink(
     partition_by: str | None = None,
     state_partitions: int | None = None,
     idle_batches: bool = True,
+    time_moved_by: str = SLOWEST,
 ) -> StreamingQuery:
     """Appends `stream` to parquet files in `path`, exactly once.
 
@@ -36,17 +43,57 @@ def start_sink(
     the session's shuffle partitions; a checkpoint keeps the number it began with. Batches without
     input let time move on; with state that lives for a span of processing time they never end, so
     such a stream needs `idle_batches=False` to catch up and stop.
+
+    `time_moved_by` says which of several inputs moves the watermark: the slowest, so that no input's records are behind
+    it, or the fastest, so that an input which falls silent does not hold up time (nor what waits for it to pass), at the price
+    that its records may come behind the watermark once it speaks again. A checkpoint keeps the choice it began with.
     """
-    spark = stream.sparkSession
-    writer = stream.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    if until_caught_up:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=interval)
-    settings = dict(_STATE)
+    return _start(stream.sparkSession, writer, checkpoint, interval, until_caught_up, state_partitions, idle_batches, time_moved_by)
+
+
+def start_batches(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    interval: str = CHECKPOINT_INTERVAL,
+    until_caught_up: bool = False,
+    state_partitions: int | None = None,
+    idle_batches: bool = True,
+    time_moved_by: str = SLOWEST,
+) -> StreamingQuery:
+    """Hands each micro-batch with its number to `write`, which is called again for a batch that has failed: what it
+    writes must depend on the number so that it replaces the first attempt. Other arguments are those of `start_sink`."""
+    writer = stream.writeStream.outputMode("append").foreachBatch(write)
+    return _start(stream.sparkSession, writer, checkpoint, interval, until_caught_up, state_partitions, idle_batches, time_moved_by)
+
+
+def start_tagged_sinks(stream: DataFrame, tag: str, paths: dict[str, str], checkpoint: str, **sink) -> StreamingQuery:
+    """Writes the records of each tag to a table of their own, each exactly once, without the tag.
+
+    A micro-batch is worked out once and kept for its writes. In every table it owns one folder, which it overwrites when it is
+    repeated: a batch that fails between two tables adds no row twice. Records with another tag, or none, are left out.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        kept = batch.filter(F.col(tag).isin(*paths)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for value, path in paths.items():
+                kept.filter(F.col(tag) == value).drop(tag).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            kept.unpersist()
+
+    return start_batches(stream, write, checkpoint, **sink)
+
+
+def _start(
+    spark: SparkSession, writer: DataStreamWriter, checkpoint: str, interval: str, until_caught_up: bool,
+    state_partitions: int | None, idle_batches: bool, time_moved_by: str,
+) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if until_caught_up else writer.trigger(processingTime=interval)
+    settings = {**_STATE, "spark.sql.streaming.multipleWatermarkPolicy": _POLICY[time_moved_by]}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if not idle_batches:
@@ -66,11 +113,25 @@ def start_sink(
                     spark.conf.set(name, value)
 
 
-def read_waiting(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """(ride_id, ride, fare) still waiting in the state of a stopped pairing stream."""
-    state = (
-        spark.read.format("statestore")
-        .option("stateVarName", "waiting")
-        .load(checkpoint)
-    )
+def read_waiting(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """(ride_id, ride, fare) waiting in the state of a stopped pairing stream, at its end or at the end of an earlier batch.
+
+    Spark keeps the states of the last hundred batches, unless `spark.sql.streaming.minBatchesToRetain` says otherwise.
+    """
+    state = _state_reader(spark, batch).option("stateVarName", "waiting").load(checkpoint)
     return state.select("key.ride_id", "value.ride", "value.fare")
+
+
+def read_timers(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """(ride_id, due) for each timer set in a stopped expiring stream, at its end or at the end of an earlier batch.
+
+    A timer fires with the first batch whose watermark has reached it. More timers than waiting records mean that some were left
+    behind by records since replaced.
+    """
+    timers = _state_reader(spark, batch).option("readRegisteredTimers", "true").load(checkpoint)
+    return timers.select("key.ride_id", F.timestamp_millis("expiration_timestamp_ms").alias("due"))
+
+
+def _state_reader(spark: SparkSession, batch: int | None) -> DataFrameReader:
+    reader = spark.read.format("statestore")
+    return reader if batch is None else reader.option("batchId", batch)

@@ -117,6 +117,10 @@ class PairingProcessor(StatefulProcessor):
                 slot.record = (row.is_ride, row.at, row.ride, row.fare)
         slot.save()
 
+    def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:
+        row = initialState
+        self._waiting.update((row.is_ride, row.at, row.ride, row.fare))
+
     def close(self) -> None:
         pass
 
@@ -172,17 +176,28 @@ def _unmatched(ride_id: int, held: tuple) -> Row:
     return _OUTCOME(UNMATCHED_RIDE if held[0] else UNMATCHED_FARE, ride_id, held[2], held[3])
 
 
-def rides_fares_stream(rides: DataFrame, fares: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def rides_fares_stream(
+    rides: DataFrame, fares: DataFrame, ttl_ms: int | None = None, begun: DataFrame | None = None
+) -> DataFrame:
     """Stream of (ride_id, ride, fare).
 
-    A record without partner waits for ever, unless `ttl_ms` bounds its stay in processing time.
+    A record without partner waits for ever, unless `ttl_ms` bounds its stay in processing time. `begun` is a table of
+    (ride_id, ride, fare) that already wait when the first micro-batch comes, at most one an id, as `pairing.waiting_of`
+    gives them: a history kept as a table goes on as a stream. A query that goes on from a checkpoint has its own state and ignores it.
     """
     events = _stamped(rides, fares)
+    waiting = None
+    if begun is not None:
+        waiting = begun.select(
+            "ride_id", F.col("ride").isNotNull().alias("is_ride"),
+            F.unix_micros(F.coalesce("ride.event_time", "fare.event_time")).alias("at"), "ride", "fare",
+        ).groupBy("ride_id")
     return events.groupBy("ride_id").transformWithState(
         PairingProcessor(_waiting_schema(events), ttl_ms),
         _result_schema(events),
         "append",
         "None" if ttl_ms is None else "ProcessingTime",
+        waiting,
     )
 
 
