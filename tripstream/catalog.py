@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripstream.functions import Box, as_event_time
 from tripstream.operators import enrichment, filters, pairing, registry, tips
-from tripstream.plans import new_folder
+from tripstream.plans import new_folder, write_bucketed, write_by_place
 from tripstream.replay import Replay
 from tripstream.schemas import STATION, UNMATCHED_FARE, UNMATCHED_RIDE
 from tripstream.sources import read_stations, read_table, write_stations
@@ -165,6 +165,38 @@ def _unmatched_rides(spark, sf_dir):
     return _zoneless(enrichment.unmatched_rides(rides, fares).drop("is_start"))
 
 
+def _unmatched_fares_filtered(spark, sf_dir):
+    """Only open orders are rides here, so about half of the fares have none."""
+    rides = filters.ride_starts_sampled(_order_rides(spark, sf_dir))
+    return _zoneless(enrichment.unmatched_fares_filtered(rides, _order_fares(spark, sf_dir)))
+
+
+def _bucketed(df):
+    path = new_folder(df.sparkSession, "bucketed")
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write_bucketed(df, f"tripstream_{path.rsplit('-', 1)[-1]}", path, buckets)
+
+
+def _rides_fares_join_bucketed(spark, sf_dir):
+    """Both inputs written as tables bucketed by ride id first, which then join where they lie."""
+    return _flat(pairing.rides_fares_join(*map(_bucketed, _unique(spark, sf_dir))))
+
+
+def _rides_fares_pairs_bucketed(spark, sf_dir):
+    """Both kinds written as one bucketed table of events first, which is then paired where it lies."""
+    events = _bucketed(pairing.tagged(*_repeating(spark, sf_dir)))
+    return _flat(pairing.pairs_of(pairing.settled_events(events)))
+
+
+_PLACES = ["start_lon", "start_lat", "end_lon", "end_lat"]
+
+
+def _ride_cleansing_by_place(spark, sf_dir):
+    rides, path = _placed_rides(spark, sf_dir), new_folder(spark, "by-place")
+    write_by_place(rides, path, _PLACES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _zoneless(filters.ride_cleansing(read_table(spark, path, rides.schema), BOX))
+
+
 def _stations(spark, sf_dir):
     """The suppliers in the layout of stations."""
     key = F.col("s_suppkey")
@@ -333,6 +365,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unmatched_fares": _on_unique(enrichment.unmatched_fares),
         "unmatched_rides": _unmatched_rides,
         "unmatched_fares_within": _on_unique(enrichment.unmatched_fares_within, BOUND_SECONDS),
+        "unmatched_fares_filtered": _unmatched_fares_filtered,
+        "rides_fares_join_bucketed": _rides_fares_join_bucketed,
+        "rides_fares_pairs_bucketed": _rides_fares_pairs_bucketed,
+        "ride_cleansing_by_place": _ride_cleansing_by_place,
         "station_scan": _station_scan,
         "station_intersect": _on_station_files(registry.registry_intersect),
         "station_except": _on_station_files(registry.registry_except),

@@ -7,18 +7,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstream.functions import bucket_start
+from tripstream.plans import MAX_WORDS, members
 from tripstream.schemas import MATCHED, UNMATCHED_FARE, UNMATCHED_RIDE
 
 
 def _aside(*needed: str) -> Column:
-    """A second join key: 0, but for records that lack a key and so match nothing, a hash that spreads them over all tasks.
+    """A second join key: a hash of the id, but for records that lack a key and so match nothing, one that spreads them over all tasks.
 
-    The hash is of the record's text, which, unlike the record, may hold maps.
+    It is of the record's text, which, unlike the record, may hold maps. (A constant in place of the hash of the id would be
+    taken out of the join by Catalyst, and the spreading with it.)
     """
     lacking = F.col(needed[0]).isNull()
     for name in needed[1:]:
         lacking = lacking | F.col(name).isNull()
-    return F.when(lacking, F.xxhash64(F.to_json(F.struct("*")))).otherwise(F.lit(0).cast("long"))
+    return F.when(lacking, F.xxhash64(F.to_json(F.struct("*")))).otherwise(_of_id(needed[0]))
+
+
+def _of_id(name: str = "ride_id") -> Column:
+    return F.xxhash64(name)
 
 
 def enrichment_outcomes(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -43,7 +49,7 @@ def side_output(outcomes: DataFrame, tag: str) -> DataFrame:
 def unmatched_fares(rides: DataFrame, fares: DataFrame) -> DataFrame:
     """Fares whose id no ride has, those without id too. Each input is scanned once; a repeated ride id is sent once a task."""
     keys = ["ride_id", "aside"]
-    known = rides.filter("ride_id IS NOT NULL").select("ride_id", F.lit(0).cast("long").alias("aside")).distinct()
+    known = rides.filter("ride_id IS NOT NULL").select("ride_id", _of_id().alias("aside")).distinct()
     # As one column, a record keeps whatever names its fields have.
     records = fares.select("ride_id", _aside("ride_id").alias("aside"), F.struct("*").alias("record"))
     return records.join(known, keys, "left_anti").select("record.*")
@@ -53,6 +59,21 @@ def unmatched_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
     return unmatched_fares(fares, rides)
 
 
+def unmatched_fares_filtered(rides: DataFrame, fares: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+    """As `unmatched_fares`, for fares most of which have no ride: what a filter of the rides' ids rules out is not shuffled.
+
+    The filter is broadcast; its size is bounded by `max_words`, and where the rides are too many for it, the plain join is
+    returned. Only fares that it lets through meet the rides. Fares are scanned twice, once for those ruled out and once for the
+    rest. Building it runs a job that counts the ids.
+    """
+    known = members(rides, "ride_id", max_words)
+    if known is None:
+        return unmatched_fares(rides, fares)
+    records = known.may_hold(fares.select("ride_id", F.struct("*").alias("record")), "ride_id", "may_match")
+    lone = records.filter("NOT may_match").select("record.*")
+    return lone.unionByName(unmatched_fares(rides, records.filter("may_match").select("record.*")))
+
+
 def unmatched_fares_within(rides: DataFrame, fares: DataFrame, bound_seconds: int) -> DataFrame:
     """Fares with no ride of the same id at most `bound_seconds` before or after them.
 
@@ -71,14 +92,14 @@ def unmatched_fares_within(rides: DataFrame, fares: DataFrame, bound_seconds: in
     nearest = (
         rides.filter("ride_id IS NOT NULL AND event_time IS NOT NULL")
         .select("ride_id", at.alias("at"), F.explode(steps).alias("step"))
-        .groupBy("ride_id", (bucket_start(F.col("at"), width) + F.col("step") * width).alias("bucket"))
+        .groupBy("ride_id", _of_id().alias("aside"), (bucket_start(F.col("at"), width) + F.col("step") * width).alias("bucket"))
         .agg(
             F.bool_or(F.col("step") == 0).alias("inside"),
             F.max(F.when(F.col("step") == 1, F.col("at"))).alias("latest_before"),
             F.min(F.when(F.col("step") == -1, F.col("at"))).alias("earliest_after"),
         )
     )
-    near_side = nearest.withColumn("aside", F.lit(0).cast("long")).alias("near")
+    near_side = nearest.alias("near")
     keyed = fares.select(
         "ride_id", bucket_start(at, width).alias("bucket"), _aside("ride_id", "event_time").alias("aside"), at.alias("at"),
         F.struct("*").alias("record"),

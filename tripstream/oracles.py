@@ -232,6 +232,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM ride r WHERE NOT EXISTS (FROM fare f WHERE r.ride_id = f.ride_id)""",
         "unmatched_fares_within": f"""{_UNIQUE}
             SELECT * FROM fare f WHERE NOT EXISTS (FROM ride r WHERE {_NEAR})""",
+        "unmatched_fares_filtered": f"""{_UNIQUE}
+            SELECT * FROM fare f WHERE NOT EXISTS (
+              FROM orders o WHERE o.o_orderkey = f.ride_id AND o_orderstatus = 'O' AND o_orderkey % 1000 <> 0)""",
+        "rides_fares_join_bucketed": f"{_UNIQUE} SELECT ride_id, {_FLAT} FROM ride r JOIN fare f USING (ride_id)",
+        "rides_fares_pairs_bucketed": _PAIRS,
+        "ride_cleansing_by_place": _CLEANSED,
         "station_scan": _STATIONS,
         "station_intersect": f"{_STATIONS} INTERSECT {_OTHER_STATIONS}",
         "station_except": f"{_STATIONS} EXCEPT {_OTHER_STATIONS}",
