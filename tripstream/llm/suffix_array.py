@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -150,6 +151,7 @@ def whole_copies(frame: DataFrame, names: tuple[str, str], span: int) -> DataFra
     """For each block the numbers of its texts, of span bytes at least, that a row with a smaller id repeats as a whole."""
 
     def run(batches):
+        let_go()
         for batch in one_by_one(batches):
             for number, rows in zip(batch.column("block").to_pylist(), batch.column("rows").to_pylist(), strict=True):
                 block = Block(rows, *names)
@@ -232,6 +234,7 @@ def candidates(frame: DataFrame, names: tuple[str, str], span: int, period: int,
     length = span - period + 1
 
     def run(batches):
+        let_go()
         for batch in one_by_one(batches):
             out = []
             for number, rows, copies, flags in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "copies", "flags")), strict=True):
@@ -287,6 +290,7 @@ def shipped(frame: DataFrame, names: tuple[str, str], span: int, turn: int, bits
     """For each block and bucket of a turn the keys, checks and smallest ids of its suffixes."""
 
     def run(batches):
+        let_go()
         for batch in one_by_one(batches):
             for number, rows, runs in zip(*(batch.column(c).to_pylist() for c in ("block", "rows", "runs")), strict=True):
                 if not runs:
@@ -359,12 +363,44 @@ def repeated_passages_removed(
     A text that a smaller id repeats as a whole goes as a whole, before suffixes are looked at. A block's suffixes are reduced to their distinct strings before they travel, so a passage in a third of all rows puts
     one entry a block into its bucket. Equal means equal in 96 bits of hash. A task holds a block or a bucket; the largest block is the longest text.
     """
+    docs = docs.drop(*ADDED, "kept_sha256")
+    kept = [c for c in docs.columns if keep_text or c != text_column]
+    last = ("kept_bytes", T.BinaryType(), pa.binary()) if keep_text else ("kept_sha256", T.StringType(), pa.string())
+    schema = T.StructType([docs.schema[c] for c in kept])
+    for name in ADDED[:3]:
+        schema = schema.add(name, T.LongType())
+    schema = schema.add(last[0], last[1])
+
+    def described(block: Block, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
+        columns = ([], [], [], [])
+        for out, rest in what_is_left(block, gone):
+            values = (len(out), int(out.sum()), int((out[1:] & ~out[:-1]).sum() + out[:1].sum()), rest if keep_text else hashlib.sha256(rest).hexdigest())
+            for column, value in zip(columns, values, strict=True):
+                column.append(value)
+        made = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), last[2]), strict=True)]
+        for piece in block.table.select(kept).combine_chunks().to_batches():
+            yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=schema.names)
+
+    return cut_out(docs, id_column, text_column, span, described, schema)
+
+
+def what_is_left(block: Block, gone: np.ndarray) -> Iterator[tuple[np.ndarray, bytes]]:
+    """For each text which of its bytes go, and the others."""
+    for start, length in zip(block.starts.tolist(), block.lengths.tolist(), strict=True):
+        out = gone[start : start + length]
+        yield out, block.buffer[start : start + length][~out].tobytes()
+
+
+def cut_out(
+    docs: DataFrame, id_column: str, text_column: str, span: int,
+    described: Callable[[Block, np.ndarray], Iterator[pa.RecordBatch]], schema: T.StructType,
+) -> DataFrame:
+    """What `described` makes, in the same task, of each block and of the marks of its bytes that go."""
     if not 20 <= span <= 256:
         raise ValueError("span must lie between 20 and 256")
     spark = docs.sparkSession
     period = max(p for p in COVERS if p <= span - 12)
     names = (id_column, text_column)
-    docs = docs.drop(*ADDED, "kept_sha256")
     gathered = written(blocks(docs, *names))
     stored = written(gathered.join(whole_copies(gathered, names, span), "block", "left"))
     total = stored.agg(F.sum("bytes")).first()[0] or 0
@@ -384,28 +420,12 @@ def repeated_passages_removed(
         found = found.unionByName(more)
     answers = found.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("flags"))
 
-    kept = [c for c in docs.columns if keep_text or c != text_column]
-    last = ("kept_bytes", T.BinaryType(), pa.binary()) if keep_text else ("kept_sha256", T.StringType(), pa.string())
-    schema = T.StructType([docs.schema[c] for c in kept])
-    for name in ADDED[:3]:
-        schema = schema.add(name, T.LongType())
-    schema = schema.add(last[0], last[1])
-
     def finish(batches):
+        let_go()
         for batch in one_by_one(batches):
             for rows, copies, runs, flags in zip(*(batch.column(c).to_pylist() for c in ("rows", "copies", "runs", "flags")), strict=True):
                 block = Block(rows, *names, copies)
-                gone = cut(block, runs, span, fine, flags)
-                columns = ([], [], [], [])
-                for start, length in zip(block.starts.tolist(), block.lengths.tolist(), strict=True):
-                    out = gone[start : start + length]
-                    rest = block.buffer[start : start + length][~out].tobytes()
-                    values = (length, int(out.sum()), int((out[1:] & ~out[:-1]).sum() + out[:1].sum()), rest if keep_text else hashlib.sha256(rest).hexdigest())
-                    for column, value in zip(columns, values, strict=True):
-                        column.append(value)
-                made = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), last[2]), strict=True)]
-                for piece in block.table.select(kept).combine_chunks().to_batches():
-                    yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=schema.names)
+                yield from described(block, cut(block, runs, span, fine, flags))
         give_back()
 
     return marked.select("block", "rows", "copies", "runs").join(answers, "block", "left").mapInArrow(finish, schema)
@@ -419,21 +439,19 @@ def drop_repeated_passages(
     A character of which only some bytes go, goes altogether. Null texts become empty. If length_column is given and docs
     has it, it is set to the characters that are left.
     """
-    found = repeated_passages_removed(docs, id_column, text_column, span)
-    names = [c for c in docs.columns if c not in (*ADDED, "kept_sha256")]
+    docs = docs.drop(*ADDED, "kept_sha256")
+    names = docs.columns
 
-    def run(batches):
-        for batch in batches:
-            texts = [b.decode("utf-8", errors="ignore") for b in batch.column("kept_bytes").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if c == text_column else batch.column(c) for c in names], names=names
-            )
+    def described(block: Block, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
+        texts = pa.array([rest.decode("utf-8", errors="ignore") for _, rest in what_is_left(block, gone)], pa.string())
+        table = block.table.set_column(names.index(text_column), text_column, texts).combine_chunks()
+        yield from table.to_batches()
 
-    cut_out = found.mapInArrow(run, T.StructType([docs.schema[c] for c in names]))
+    cut_text = cut_out(docs, id_column, text_column, span, described, docs.schema)
     if length_column in names:
         kind = docs.schema[length_column].dataType
-        cut_out = cut_out.withColumn(length_column, F.char_length(text_column).cast(kind))
-    return cut_out
+        cut_text = cut_text.withColumn(length_column, F.char_length(text_column).cast(kind))
+    return cut_text
 
 
 def op8_suffix_array(spark, sf_dir: str) -> DataFrame:
