@@ -1,6 +1,7 @@
 """Tokenising operators against the tokenizers library."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -54,6 +55,30 @@ def test_round_trip_digests(spark, byte_level):
     assert bpe.round_trip_digests(empty(spark)).count() == 0
 
 
+def test_odd_texts_encode_and_decode_as_the_library_does(byte_level):
+    rng = random.Random(8)
+    letters = list("abcdeth   \n\n\t\r\x0b\x0c\x1c\x85\xa0\u2003\u3000\0.,-'<>/sx0é日本語テ😀\u0301")
+    strings = ["<|endoftext|>", "it's", "don't", "I'LL", "the", "x" * 70, "ab" * 40, " " * 9, "\n" * 5, "1234567", "日" * 20, "\0", "€", "<|"]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(50))) for _ in range(3000)]
+    texts += ["".join(rng.choices(strings, k=15)) for _ in range(500)]
+    texts += ["".join(chr(c) for c in rng.choices(range(1, 0xD800), k=20)) for _ in range(200)]
+    wanted = [e.ids for e in byte_level.encode_batch(texts, add_special_tokens=False)]
+    own = bpe.shared_bpe(bpe.VOCABULARY)
+    table, digests = PieceTable(lambda p: [np.array(i, "<u4").tobytes() for i in own.pieces(p)], limit=2000), bpe.Digests(own)
+    done = 0
+    for group in bpe.in_groups(texts, size=3000):
+        at, done = done, done + len(group)
+        ids = table.of(group)
+        assert [np.frombuffer(i, "<u4").tolist() for i in ids] == wanted[at : at + len(group)]
+        numbers, decoded = digests.of(ids)
+        for i, n, d in zip(wanted[at : at + len(group)], numbers, decoded, strict=True):
+            assert n == hashlib.sha256(",".join(map(str, i)).encode()).hexdigest()
+            assert d == hashlib.sha256(byte_level.decode(i, skip_special_tokens=False).encode()).hexdigest()
+    broken = np.array([222, 50256, 222, 0], "<u4").tobytes()
+    text = byte_level.decode([222, 50256, 222, 0], skip_special_tokens=False)
+    assert digests.of([broken, b""])[1] == [hashlib.sha256(t.encode()).hexdigest() for t in (text, "")]
+
+
 def test_encode_then_decode(spark):
     texts = awkward_texts(2)
     back = bpe.decode(bpe.encode(documents(spark, texts)))

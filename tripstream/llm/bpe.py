@@ -6,6 +6,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tripstream.llm.common_arrow import appended, texts_of
+from tripstream.llm.piece_table import PieceTable, flat, gathered
 from tripstream.llm.pretokens import PieceCache, held
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -230,11 +232,60 @@ def id_cache(vocabulary: str) -> PieceCache:
     return held(("ids", vocabulary), lambda: PieceCache(values))
 
 
-def digest_cache(vocabulary: str) -> PieceCache:
+def id_table(vocabulary: str) -> PieceTable:
+    """Ids of pieces, speculated and verified, in a table that texts are looked up in by the batch."""
+
     def values(pieces):
-        return [(",".join(map(str, i)), np.array(i, "<u4").tobytes()) for i in shared_bpe(vocabulary).pieces(pieces)]
+        return [np.array(i, "<u4").tobytes() for i in shared_bpe(vocabulary).pieces(pieces)]
+
+    return held(("id table", vocabulary), lambda: PieceTable(values))
+
+
+class Digests:
+    """Digests of the ids of texts, as decimal numbers joined by commas, and of the decoded texts."""
+
+    def __init__(self, bpe: ByteBpe):
+        self.decimal = flat([np.frombuffer(f"{i},".encode(), np.uint8) for i in range(bpe.size)])
+        self.text = flat([np.frombuffer(t, np.uint8) for t in bpe.bytes_of])
+
+    def of(self, ids: list[bytes]) -> tuple[list[str], list[str]]:
+        flat_ids = np.frombuffer(b"".join(ids), "<u4")
+        ends = np.cumsum([len(i) // 4 for i in ids], dtype=np.int64)
+        numbers, texts = (self._cut(flat_ids, ends, *pool) for pool in (self.decimal, self.text))
+        return [hashlib.sha256(n[:-1]).hexdigest() for n in numbers], [hashlib.sha256(whole(t)).hexdigest() for t in texts]
+
+    def _cut(self, ids: np.ndarray, ends: np.ndarray, pool: np.ndarray, at: np.ndarray, n: np.ndarray) -> list[memoryview]:
+        sizes = n[ids]
+        raw = memoryview(gathered(pool, at[ids], sizes).tobytes())
+        edges = np.append(0, np.cumsum(sizes))[np.append(0, ends)].tolist()
+        return [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def whole(text: memoryview) -> bytes | memoryview:
+    """The text in UTF-8, where bytes that are none have become U+FFFD."""
+    try:
+        str(text, "utf-8")
+    except UnicodeDecodeError:
+        return str(text, "utf-8", "replace").encode()
+    return text
+
+
+@functools.cache
+def shared_digests(vocabulary: str) -> Digests:
+    return Digests(shared_bpe(vocabulary))
+
 
-    return held(("digests", vocabulary), lambda: PieceCache(values, limit=150_000))
+def in_groups(texts: list[str], size: int = 500_000) -> Iterator[list[str]]:
+    """The texts in turn, so many that they have about `size` characters together."""
+    held_back, chars = [], 0
+    for text in texts:
+        held_back.append(text)
+        chars += len(text)
+        if chars >= size:
+            yield held_back
+            held_back, chars = [], 0
+    if held_back:
+        yield held_back
 
 
 def encode(docs: DataFrame, text_column: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -268,15 +319,15 @@ def round_trip_digests(docs: DataFrame, text_column: str = "text", vocabulary: s
     """
 
     def make():
-        bpe, cache = shared_bpe(vocabulary), digest_cache(vocabulary)
+        table, digests = id_table(vocabulary), shared_digests(vocabulary)
 
         def work(batch):
             counts, ids_sha, text_sha = [], [], []
-            for found in cache.of(texts_of(batch, text_column)):
-                ids = np.frombuffer(b"".join([v for _, v in found]), "<u4").tolist()
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([s for s, _ in found if s]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decoded(ids).encode()).hexdigest())
+            for texts in in_groups(texts_of(batch, text_column)):
+                ids = table.of(texts)
+                counts += [len(i) // 4 for i in ids]
+                for found, more in zip((ids_sha, text_sha), digests.of(ids), strict=True):
+                    found += more
             return [counts, ids_sha, text_sha]
 
         return work

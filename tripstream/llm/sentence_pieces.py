@@ -19,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from tripstream.llm.common_arrow import appended, texts_of
-from tripstream.llm.piece_table import PieceTable
+from tripstream.llm.piece_table import PieceTable, flat, gathered
 from tripstream.llm.pretokens import held
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -186,18 +186,6 @@ def whole(raw: bytes) -> bytes:
     return raw
 
 
-def flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Arrays in a row, with the place and length of each."""
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.concatenate(parts), np.cumsum(sizes) - sizes, sizes
-
-
-def gathered(pool: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The stretches of the pool that begin at `at` and are n long, in a row."""
-    before = np.cumsum(n) - n
-    return pool[np.repeat(at - before, n) + np.arange(int(n.sum()))]
-
-
 class WordTable(PieceTable):
     """Ids of words, which the table keeps by their bytes; it begins afresh when it is full."""
 
