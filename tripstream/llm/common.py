@@ -45,3 +45,11 @@ def ascii_lower(text: Column) -> Column:
 def plain(text: str) -> Column:
     """A text column with null as the empty string."""
     return F.coalesce(F.col(text), F.lit(""))
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores as it takes to differ from all of the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

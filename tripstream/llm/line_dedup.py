@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import ascii_lower, partitions, plain, stored
+from tripstream.llm.common import ascii_lower, partitions, plain, stored, unused
 
 SPACES = " \t\n\x0b\f\r"
 ADDED = ("n_lines", "n_dropped", "kept_text")
@@ -77,18 +77,28 @@ def hashed(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("h"), F.crc32(key.cast("binary")).alias("c"))
 
 
-def built(frame: pd.DataFrame) -> pd.DataFrame:
-    """One shard: the perfect hash, and in its order fingerprints and counts (up to 65535)."""
-    keys = frame["h"].to_numpy().view(np.uint64)
-    keys, first = np.unique(keys, return_index=True)
-    index = PerfectHash.of(keys)
-    place = index.place(keys)
-    prints, counts = np.empty(len(keys), np.uint32), np.empty(len(keys), np.uint16)
-    prints[place] = frame["c"].to_numpy()[first]
-    counts[place] = np.minimum(frame["n"].to_numpy()[first], 65_535)
-    file = io.BytesIO()
-    np.savez(file, *index.levels)
-    return pd.DataFrame({"shard": [frame["shard"].iloc[0]], "levels": [file.getvalue()], "prints": [prints.tobytes()], "counts": [counts.tobytes()]})
+def built(least: int):
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        """One shard: the perfect hash, and in its order fingerprints and counts (up to 65535).
+
+        Of lines that share all 64 bits of a place's key one is in the arrays; the others, if frequent, are listed beside them.
+        """
+        frame = frame.sort_values(["h", "c"])
+        keys = frame["h"].to_numpy().view(np.uint64)
+        keys, first = np.unique(keys, return_index=True)
+        index = PerfectHash.of(keys)
+        place = index.place(keys)
+        prints, counts = np.empty(len(keys), np.uint32), np.empty(len(keys), np.uint16)
+        prints[place] = frame["c"].to_numpy()[first]
+        counts[place] = np.minimum(frame["n"].to_numpy()[first], 65_535)
+        others = np.ones(len(frame), bool)
+        others[first] = False
+        others &= frame["n"].to_numpy() >= least
+        file = io.BytesIO()
+        np.savez(file, frame["h"].to_numpy()[others], frame["c"].to_numpy()[others], *index.levels)
+        return pd.DataFrame({"shard": [frame["shard"].iloc[0]], "levels": [file.getvalue()], "prints": [prints.tobytes()], "counts": [counts.tobytes()]})
+
+    return build
 
 
 def probe(least: int, id_type: str):
@@ -96,11 +106,15 @@ def probe(least: int, id_type: str):
         if not len(index) or not len(lines):
             return lines.iloc[:0][["id", "h", "c"]]
         with np.load(io.BytesIO(index["levels"].iloc[0])) as levels:
-            table = PerfectHash(list(levels.values()))
+            other_keys, other_prints, *levels = levels.values()
+        table = PerfectHash(levels)
         prints = np.frombuffer(index["prints"].iloc[0], np.uint32)
         counts = np.frombuffer(index["counts"].iloc[0], np.uint16)
         place = table.place(lines["h"].to_numpy().view(np.uint64))
         frequent = (place >= 0) & (prints[place] == lines["c"].to_numpy()) & (counts[place] >= least)
+        if len(other_keys):
+            listed = pd.MultiIndex.from_arrays([other_keys, other_prints])
+            frequent |= pd.MultiIndex.from_arrays([lines["h"], lines["c"]]).isin(listed)
         return lines.loc[frequent, ["id", "h", "c"]]
 
     return probed
@@ -134,21 +148,22 @@ def frequent_lines_dropped(
     total = counts.agg(F.sum("n")).first()[0] or 0
     sure = counts.where(F.col("n") > max(least, total // (SHARE * partitions(spark)))).select("h", "c")
     index = counts.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        built, "shard int, levels binary, prints binary, counts binary"
+        built(least), "shard int, levels binary, prints binary, counts binary"
     )
     rest = lines.join(F.broadcast(sure), ["h", "c"], "left_anti")
     schema = f"id {docs.schema[id_column].dataType.simpleString()}, h long, c long"
     answered = rest.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe(least, schema), schema)
     known = lines.join(F.broadcast(sure), ["h", "c"], "left_semi").select("id", "h", "c")
-    drops = answered.unionByName(known).groupBy("id").agg(F.collect_set(F.struct("h", "c")).alias("__drop"))
+    of, gone, stay = (unused(n, docs.columns) for n in ("id", "gone", "stay"))
+    drops = answered.unionByName(known).groupBy(F.col("id").alias(of)).agg(F.collect_set(F.struct("h", "c")).alias(gone))
     split = F.split(text, "\n")
-    stays = F.filter(split, lambda line: F.col("__drop").isNull() | ~F.array_contains(F.col("__drop"), hashed(line_key(line))))
-    joined = docs.join(drops, docs[id_column].eqNullSafe(drops["id"]), "left").drop("id").withColumn("__stays", stays)
+    stays = F.filter(split, lambda line: F.col(gone).isNull() | ~F.array_contains(F.col(gone), hashed(line_key(line))))
+    joined = docs.join(drops, docs[id_column].eqNullSafe(drops[of]), "left").withColumn(stay, stays)
     return joined.select(
         *docs.columns,
         F.size(split).cast("long").alias("n_lines"),
-        (F.size(split) - F.size("__stays")).cast("long").alias("n_dropped"),
-        F.array_join("__stays", "\n").alias("kept_text"),
+        (F.size(split) - F.size(stay)).cast("long").alias("n_dropped"),
+        F.array_join(stay, "\n").alias("kept_text"),
     )
 
 
