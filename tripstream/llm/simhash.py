@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstream.llm.common import stored
+from tripstream.llm.common import stored, unused
 from tripstream.llm.common_arrow import appended
 from tripstream.llm.components import components
 from tripstream.llm.pretokens import let_go
@@ -41,8 +41,8 @@ def fingerprint(text: bytes, shingle: int, seed: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprinted(docs: DataFrame, text_column: str, shingle: int, seed: int, keep: list[str]) -> DataFrame:
-    """The columns of docs in keep with the fingerprint as a signed long, __print; null text counts as empty."""
+def fingerprinted(docs: DataFrame, text_column: str, shingle: int, seed: int, keep: list[str], added: str = "__print") -> DataFrame:
+    """The columns of docs in keep with the fingerprint as a signed long, under the name `added`; null text counts as empty."""
 
     def make():
         let_go()
@@ -54,7 +54,7 @@ def fingerprinted(docs: DataFrame, text_column: str, shingle: int, seed: int, ke
 
         return work
 
-    return appended(docs, {"__print": "bigint"}, make, keep=keep)
+    return appended(docs, {added: "bigint"}, make, keep=keep)
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,18 +155,25 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
     return groups.groupBy("bucket", "low", "high").applyInPandas(compare, "a long, b long")
 
 
-def classified(docs: DataFrame, id_column: str, text_column: str, shingle: int, radius: int, seed: int, keep_text: bool) -> DataFrame:
-    """docs with __print, __root (a fingerprint that names the component) and component_id, its smallest id."""
-    keep = [c for c in docs.columns if c not in ADDED and (keep_text or c != text_column)]
-    rows = stored(fingerprinted(docs, text_column, shingle, seed, keep))
-    smallest = stored(rows.groupBy(F.col("__print").alias("print")).agg(F.min(id_column).alias("low")))
+def carried(docs: DataFrame, text_column: str, keep_text: bool = True) -> list[str]:
+    """The columns of docs that go through to the result."""
+    return [c for c in docs.columns if c.lower() not in ADDED and (keep_text or c != text_column)]
+
+
+def classified(
+    docs: DataFrame, id_column: str, text_column: str, shingle: int, radius: int, seed: int, keep_text: bool
+) -> tuple[DataFrame, str, str]:
+    """docs with component_id, the smallest id of the component, and two columns under names that docs does not have: the
+    fingerprint, and one that names the component."""
+    keep = carried(docs, text_column, keep_text)
+    own, root = unused("print", keep), unused("root", keep)
+    rows = stored(fingerprinted(docs, text_column, shingle, seed, keep, own))
+    smallest = stored(rows.groupBy(F.col(own).alias("print")).agg(F.min(id_column).alias("low")))
     roots = components(stored(links(smallest.select("print"), radius)), "a", "b")
-    member = smallest.join(roots, F.col("print") == F.col("node"), "left").select(
-        "print", "low", F.coalesce("root", "print").alias("__root")
-    )
-    lows = member.groupBy("__root").agg(F.min("low").alias("component_id"))
-    known = member.select(F.col("print").alias("__print"), "__root").join(lows, "__root")
-    return rows.join(known, "__print")
+    member = smallest.join(roots, F.col("print") == F.col("node"), "left").select("print", "low", F.coalesce("root", "print").alias("component"))
+    lows = member.groupBy("component").agg(F.min("low").alias("component_id"))
+    known = member.join(lows, "component").select(F.col("print").alias(own), F.col("component").alias(root), "component_id")
+    return rows.join(known, own), own, root
 
 
 def near_duplicates(
@@ -182,18 +189,17 @@ def near_duplicates(
 
     Rows with equal fingerprints, however many, are one node of the graph. What finds the links grows with the distinct ones.
     """
-    rows = classified(docs, id_column, text_column, shingle, radius, seed, keep_text)
-    kept = [c for c in docs.columns if c not in ADDED and (keep_text or c != text_column)]
-    return rows.select(*kept, F.lower(F.lpad(F.hex("__print"), 16, "0")).alias("fingerprint"), "component_id")
+    rows, own, _ = classified(docs, id_column, text_column, shingle, radius, seed, keep_text)
+    return rows.select(*carried(docs, text_column, keep_text), F.lower(F.lpad(F.hex(own), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3, radius: int = 3, seed: int = 42
 ) -> DataFrame:
     """One row of each component, with the smallest id (of repeats of it, any), and the columns of docs but ADDED."""
-    rows = classified(docs, id_column, text_column, shingle, radius, seed, True)
-    first = rows.where(F.col(id_column).eqNullSafe(F.col("component_id"))).dropDuplicates(["__root"])
-    return first.select(*[c for c in docs.columns if c not in ADDED])
+    rows, _, root = classified(docs, id_column, text_column, shingle, radius, seed, True)
+    first = rows.where(F.col(id_column).eqNullSafe(F.col("component_id"))).dropDuplicates([root])
+    return first.select(*carried(docs, text_column))
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
