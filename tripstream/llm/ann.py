@@ -57,8 +57,14 @@ def usable(vector: str) -> Column:
     return F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near one: no direction or cosine changes, and no
+    square is too large or too small for a double."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
+
+
 def hashed(rows: DataFrame, trees: int, symbols: int, seed: int) -> DataFrame:
-    """id, size (the vector's dimension), bytes (the vector in little-endian doubles) and codes (its strings)."""
+    """id, size (the vector's dimension), bytes (the vector, scaled, in little-endian doubles) and codes (its strings)."""
 
     def make():
         def work(batch):
@@ -68,7 +74,9 @@ def hashed(rows: DataFrame, trees: int, symbols: int, seed: int) -> DataFrame:
             codes = [b""] * len(lengths)
             for size in np.unique(lengths).tolist():
                 at = np.flatnonzero(lengths == size)
-                found = hash_strings(values[(ends[at] - size)[:, None] + np.arange(size)], trees, symbols, seed)
+                places = (ends[at] - size)[:, None] + np.arange(size)
+                values[places] = scaled(values[places])
+                found = hash_strings(values[places], trees, symbols, seed)
                 for i, code in zip(at.tolist(), found, strict=True):
                     codes[i] = code.tobytes()
             raw = values.astype("<f8").tobytes()
@@ -215,15 +223,16 @@ def neighbours(
     Other columns are left out.
 
     The hash functions are random. Where the ascent ends is measured: MEASURED queries are compared with the whole table, and `enough` is
-    doubled until their recall is surely above `recall`, if need be up to the root, where all rows are compared. Repeated rows (id and vector) count once. Of exact copies the k + 1 smallest
+    doubled until their recall is surely above `recall`, if need be up to the root, where all rows are compared. Of rows that share an id the one with the smallest vector (compared by components) counts. Of exact copies the k + 1 smallest
     ids stand for all, which loses no result and keeps copies from filling ranges; Spark limits these groups before its shuffle. A range is dealt
     in pieces of CHUNK rows, and its queries go to each, so no group grows with the input.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("vector"), queries.alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable("vector"))
+    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"), F.bool_or("asks").alias("asks"))
     first = Window.partitionBy("vector").orderBy("id")
-    index = stored(hashed(rows.select("id", "vector").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1), trees, symbols, seed))
-    active = asked = stored(hashed(rows.where("asks").dropDuplicates(["id"]), trees, symbols, seed))
+    index = stored(hashed(rows.select("id", "vector").withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1), trees, symbols, seed))
+    active = asked = stored(hashed(rows.where("asks"), trees, symbols, seed))
     enough = raised(*measured(index, asked, k, trees, symbols), enough, recall)
     pieces = F.ceil(F.col("count") / CHUNK).cast("int")
     wanted: list[DataFrame] = []
