@@ -174,3 +174,39 @@ def test_repeated_passages_bear_null_and_repeated_ids(spark):
     assert suffix_array.repeated_passages_removed(empty(spark)).count() == 0
     cut = suffix_array.drop_repeated_passages(documents(spark, [text, text, "é" * 30 + text]), length_column="n_chars")
     assert by_id(cut, "text", "n_chars") == {0: (text, 60), 1: ("", 0), 2: ("é" * 30, 30)}
+
+
+def brute_lines(texts, least=10):
+    keys = [[lowered(line.strip(" \t\n\v\f\r")) for line in (t or "").split("\n")] for t in texts]
+    often = {k for k in {k for ks in keys for k in ks} if k and sum(k in set(ks) for ks in keys) >= least}
+    return {i: (len(ks), sum(k in often for k in ks), "\n".join(line for line, k in zip((t or "").split("\n"), ks, strict=True) if k not in often))
+            for i, (t, ks) in enumerate(zip(texts, keys, strict=True))}
+
+
+def test_lines_whose_hashes_are_equal_are_all_found(spark, monkeypatch):
+    own = line_dedup.hashed
+    monkeypatch.setattr(line_dedup, "hashed", lambda key: line_dedup.F.struct((own(key)["h"] % 4).alias("h"), own(key)["c"].alias("c")))
+    rng = random.Random(6)
+    texts = ["\n".join(rng.sample([f"line {n}" for n in range(16)], 5)) for _ in range(40)] + [f"only {n}" for n in range(20)]
+    found = line_dedup.frequent_lines_dropped(documents(spark, texts))
+    assert by_id(found, "n_lines", "n_dropped", "kept_text") == brute_lines(texts)
+
+
+CLASHES = ["id", "ID_", "gone", "stay", "h", "c", "n", "shard", "print", "root", "__print", "__root", "component", "low", "node", "rows", "block", "text2"]
+
+
+def clashing(spark, texts, *more):
+    names = [*CLASHES, *more]
+    return spark.createDataFrame([(i, t, *(f"{n} {i}" for n in names)) for i, t in enumerate(texts)], f"doc_id long, text string, {', '.join(f'`{n}` string' for n in names)}")
+
+
+@pytest.mark.parametrize(("operator", "more", "added"), [
+    (line_dedup.frequent_lines_dropped, ["N_Lines"], 3), (simhash.near_duplicates, ["FINGERPRINT"], 2),
+    (simhash.drop_near_duplicates, ["FINGERPRINT"], 0), (suffix_array.repeated_passages_removed, ["N_BYTES"], 4),
+    (suffix_array.drop_repeated_passages, ["N_BYTES"], 0)])
+def test_every_other_column_goes_through_under_its_name(spark, operator, more, added):
+    texts = [t for t in awkward_texts(4) if t and len(t) < 2000]
+    found = operator(clashing(spark, texts, *more))
+    assert found.columns[: 2 + len(CLASHES)] == ["doc_id", "text", *CLASHES] and len(found.columns) == 2 + len(CLASHES) + added
+    rows = found.collect()
+    assert rows and all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in CLASHES)

@@ -29,7 +29,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     assert {*queries.queries(), "pipeline"} <= set(__spark_entry__.queries())
 
 
@@ -208,3 +208,23 @@ def test_nothing_else_imports_the_package():
         if "llm" not in path.relative_to(root).parts:
             assert "llm" not in path.read_text(), path
     assert packing.WINDOW == 2048
+
+
+def test_neighbours_of_any_magnitude_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 8))
+    factors = [1.0, 1e-170, 1e200, 1e-300, 3e307, 2.0**-1000]
+    rows = [(i, (v / np.abs(v).max() * factors[i % 6]).tolist()) for i, v in enumerate(base)]
+    plain = {i: v / np.linalg.norm(v) for i, v in enumerate(base)}
+    repeated = [(7, [9.0] * 8), (7, rows[7][1]), (20, [50.0, *[0.0] * 7])]
+    smallest = {7: min(rows[7][1], [9.0] * 8), 20: min(rows[20][1], [50.0, *[0.0] * 7])}
+    for i, v in smallest.items():
+        scaled = np.ldexp(v, -int(np.frexp(np.abs(v).max())[1]))
+        plain[i] = scaled / np.linalg.norm(scaled)
+    found = ann.neighbours(vectors(spark, rows + repeated), F.col("vec_id") % 10 == 0, enough=500).collect()
+    assert len(found) == 6 * 5
+    for query in range(0, 60, 10):
+        best = sorted((-float(plain[query] @ v), i) for i, v in plain.items() if i != query)[:5]
+        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == query)
+        assert [i for _, i, _ in got] == [i for _, i in best]
+        assert np.allclose([s for *_, s in got], [-s for s, _ in best], rtol=1e-6, atol=1e-9)
