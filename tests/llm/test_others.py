@@ -1,6 +1,8 @@
 """Neighbours, chat formatting and language against brute force or held-out rows; the package's queries against their SQL."""
 
+import math
 import sys
+from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
@@ -149,29 +151,47 @@ def test_documents_stay_where_no_language_was_learned(spark):
     assert set(by_id(kept, "text").values()) == {"clean words", "日本語"} and kept.columns == docs.columns
 
 
-def test_forward_sums_all_segmentations():
-    keys = language_id.piece_keys(language_id.VOCABULARY)
-    weights = np.append(np.random.default_rng(0).random(len(keys)), 0)[:, None]
-    number = {int(k): i for i, k in enumerate(keys.tolist())}
+def test_forward_sums_all_segmentations(monkeypatch):
+    known = language_id.pieces_of(language_id.VOCABULARY)
+    assert len(known.pieces) == 50_256 and known.longest == 33
+    weights = np.random.default_rng(0).random((len(known.pieces), 2)) * 1e-3 + 1e-9
+    number = {p: i for i, p in enumerate(known.pieces)}
 
     def brute(word):
-        if not word:
-            return 1.0
-        total = 0.0
-        for n in range(1, min(len(word), language_id.MAX_PIECE) + 1):
-            at = number.get(int.from_bytes(word[:n], "little") | n << 56)
-            if at is not None:
-                total += weights[at, 0] * brute(word[n:])
-        return total
-
-    words = [b" the", b" une", "é".encode(), b"x", b" house"]
-    lattice = language_id.Lattice(words, keys)
-    alpha, beta = lattice.forward(weights), lattice.backward(weights)
-    assert np.allclose(lattice.totals(alpha)[:, 0], [brute(w) for w in words])
-    assert np.allclose(beta[lattice.nodes, 0], [brute(w) for w in words])
-    used = lattice.expected(weights, np.ones(len(words)))
-    lengths = np.array([k >> 56 for k in keys.tolist()])
-    assert np.isclose((used[:-1] * lengths).sum(), sum(map(len, words)))
+        """Sum over all segmentations of what lies before each place, with exact fractions for what has no double."""
+        sums = [[Fraction(1)] * 2]
+        for end in range(1, len(word) + 1):
+            lies = [(start, number[word[start:end]]) for start in range(end) if word[start:end] in number]
+            sums.append([sum(sums[start][j] * Fraction(weights[at, j]) for start, at in lies) for j in range(2)])
+        return [math.log(x.numerator) - math.log(x.denominator) for x in sums[-1]]
+
+    longest = max(known.pieces, key=len)
+    words = [b" the", b" une", "é".encode(), b"x", b" house", longest, b" " + longest * 3, b" " + b"w" * 90,
+             " Donaudampfschifffahrtsgesellschaftskapitän".lower().encode(), " これはとても長い日本語の文章です".encode(), b" \xff\xfe" * 30]
+    expected = [brute(w) for w in words]
+    lattice = language_id.Lattice(words, known)
+    assert np.allclose(lattice.totals(lattice.forward(weights)), expected, rtol=1e-12)
+    assert np.allclose(language_id.logs_of(words, known, weights), expected, rtol=1e-12)
+    used = lattice.expected(weights[:, :1], np.full(len(words), 2.0))
+    lengths = np.array([len(p) for p in known.pieces])
+    assert np.isclose((used * lengths).sum(), 2 * sum(map(len, words)))
+    assert language_id.logs_of([], known, weights).shape == (0, 2)
+    # A piece's expected use is the derivative of the log probability by the log of its weight.
+    for piece in (number[b"w"], number[b"ww"], number[longest]):
+        moved = weights.copy()
+        moved[piece] *= 1 + 1e-6
+        slope = (language_id.logs_of(words, known, moved) - language_id.logs_of(words, known, weights)).sum(0)[0] / 1e-6
+        assert np.isclose(slope, used[piece] / 2, rtol=1e-3, atol=1e-6)
+    # Words beyond a block go on from block to block with the same sum.
+    monkeypatch.setattr(language_id, "BLOCK", 40)
+    assert np.allclose(language_id.logs_of(words, known, weights), expected, rtol=1e-12)
+
+
+def test_only_the_most_frequent_labels_are_learned(spark):
+    rows = [(i, "the and of" if i % 3 else "der und von", "en" if i % 3 else "de") for i in range(40)] + [(100 + i, "x y", f"z{i}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, weights = language_id.learned(docs, "doc_id", "text", "lang", language_id.VOCABULARY, 2000, 3, max_labels=2)
+    assert langs == ["de", "en"] and weights.shape == (50_256, 2)
 
 
 def test_pipeline_stages_keep_what_they_should(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,99 +23,189 @@ ADDED = ("held_out", "lang_pred", "score")
 #: Labelled rows of each language that the probabilities are fitted on, at most.
 SAMPLE_ROWS = 2000
 ROUNDS = 3
-#: A piece's least probability; MAX_WORD of them multiply to a double that isn't zero.
+#: Labels that are learned, at most: those with the most rows. It bounds the model, which goes through the driver.
+MAX_LABELS = 100
+#: A piece's least probability; to the power of the longest piece's bytes it is still a double that isn't zero.
 FLOOR = 1e-9
-MAX_PIECE, MAX_WORD = 7, 32
+#: Bytes of words that are worked on at a time.
+BLOCK = 1 << 18
 LETTERS = regex.compile(r"\p{L}+")
 
 
+class Pieces:
+    """The vocabulary's pieces as a tree of bytes: node k + 1 is reached by keys[k], a node's number times 256 plus a byte.
+
+    number holds each node's piece, -1 where none ends. All single bytes are pieces, so that every word has a segmentation.
+    """
+
+    def __init__(self, pieces: set[bytes]):
+        self.pieces = sorted(pieces | {bytes([b]) for b in range(256)})
+        lengths = np.fromiter(map(len, self.pieces), np.int64, len(self.pieces))
+        self.longest = int(lengths.max())
+        starts = np.cumsum(lengths) - lengths
+        buffer = np.frombuffer(b"".join(self.pieces), np.uint8)
+        node, size, keys, ends = np.zeros(len(lengths), np.int64), 1, [], []
+        for depth in range(self.longest):
+            at = np.flatnonzero(lengths > depth)
+            # Nodes are numbered level by level and in order of their keys, so the keys of all levels are sorted.
+            found, place = np.unique(node[at] * 256 + buffer[starts[at] + depth], return_inverse=True)
+            node[at] = place + size
+            last = at[lengths[at] == depth + 1]
+            ends.append((node[last], last))
+            keys.append(found)
+            size += len(found)
+        self.keys, self.number = np.concatenate(keys), np.full(size, -1)
+        for nodes, numbers in ends:
+            self.number[nodes] = numbers
+
+    def edges(self, buffer: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, piece) of all pieces in the buffer; left: bytes of the word from each place on."""
+        at, node, found = np.arange(len(left)), np.zeros(len(left), np.int64), []
+        for n in range(1, self.longest + 1):
+            key = node * 256 + buffer[at + (n - 1)]
+            place = np.searchsorted(self.keys, key)
+            hit = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] == key)
+            at, node = at[hit], place[hit] + 1
+            piece = self.number[node]
+            full = np.flatnonzero(piece >= 0)
+            found.append((at[full], np.full(len(full), n), piece[full]))
+            on = np.flatnonzero(left[at] > n)
+            at, node = at[on], node[on]
+            if not len(at):
+                break
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 @functools.cache
-def piece_keys(vocabulary: str) -> np.ndarray:
-    """The vocabulary's pieces of up to MAX_PIECE bytes, each as its bytes in a long with the length on top, sorted."""
+def pieces_of(vocabulary: str) -> Pieces:
     with open(vocabulary, "rb") as file:
-        pieces = {base64.b64decode(line.split()[0]) for line in file if line.strip()} | {bytes([b]) for b in range(256)}
-    return np.array(sorted(int.from_bytes(p, "little") | len(p) << 56 for p in pieces if 0 < len(p) <= MAX_PIECE), np.uint64)
+        return Pieces({base64.b64decode(line.split()[0]) for line in file if line.strip()} - {b""})
 
 
 def words_of(text: str) -> list[bytes]:
-    """Runs of letters, lower-cased, each after a space; long ones in parts of MAX_WORD bytes."""
-    found = [f" {w}".encode() for w in LETTERS.findall(text.lower())]
-    if any(len(w) > MAX_WORD for w in found):
-        found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found
+    """Runs of letters, whole, lower-cased, each after a space."""
+    return [f" {w}".encode() for w in LETTERS.findall(text.lower())]
 
 
 class Lattice:
-    """The segmentations of a batch of words: for each start and length the piece's number, or one past the last."""
+    """All segmentations of a batch of words into pieces.
+
+    A word is cut wherever no piece spans, which changes no sum. A part of n bytes has n + 1 nodes; the pieces that lie between
+    them are ordered by where in their part they end, then by node, so that one step takes in all parts at once.
+    """
 
-    def __init__(self, words: list[bytes], keys: np.ndarray):
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(self.lengths)
-        self.starts = ends - self.lengths
+    def __init__(self, words: list[bytes], vocabulary: Pieces, cut: bool = True):
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(words) else 0
-        buffer = np.frombuffer(b"".join(words) + b"\0" * 8, np.uint8)
-        eight = np.ndarray((total,), "<u8", buffer, strides=(1,)).copy()
-        left = np.repeat(ends, self.lengths) - np.arange(total)
-        self.pieces = []
-        for n in range(1, MAX_PIECE + 1):
-            key = (eight & np.uint64((1 << 8 * n) - 1)) | np.uint64(n << 56)
-            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            self.pieces.append(np.where((keys[place] == key) & (left >= n), place, len(keys)))
-        # A word of n bytes has n + 1 nodes; words in order of length, longest first, so those that go on are a prefix.
-        self.order = np.argsort(-self.lengths, kind="stable")
-        self.nodes = self.starts + np.arange(len(words))
-        self.size = total + len(words)
-
-    def _steps(self):
-        lengths = -self.lengths[self.order]
-        for end in range(1, (int(-lengths[0]) if len(lengths) else 0) + 1):
-            yield end, self.order[: np.searchsorted(lengths, -end, side="right")]
-
-    def forward(self, weights: np.ndarray) -> np.ndarray:
-        """For every node the sum over segmentations of what lies before it; weights: a row a piece, then zeros."""
-        alpha = np.zeros((self.size, weights.shape[1]))
-        alpha[self.nodes] = 1
-        for end, words in self._steps():
-            node, start = self.nodes[words] + end, self.starts[words] + end
-            alpha[node] = sum(alpha[node - n] * weights[self.pieces[n - 1][start - n]] for n in range(1, min(end, MAX_PIECE) + 1))
-        return alpha
-
-    def backward(self, weights: np.ndarray) -> np.ndarray:
-        beta = np.zeros((self.size, weights.shape[1]))
-        beta[self.nodes + self.lengths] = 1
-        for end, words in reversed([*self._steps()]):
-            node, start = self.nodes[words] + end, self.starts[words] + end
-            for n in range(1, min(end, MAX_PIECE) + 1):
-                beta[node - n] += beta[node] * weights[self.pieces[n - 1][start - n]]
-        return beta
-
-    def totals(self, alpha: np.ndarray) -> np.ndarray:
-        return alpha[self.nodes + self.lengths]
+        starts, lengths, pieces = vocabulary.edges(
+            np.frombuffer(b"".join(words), np.uint8), np.repeat(ends, lengths) - np.arange(total)
+        ) if total else (np.zeros(0, np.int64),) * 3
+        first = np.zeros(total, bool)
+        first[np.concatenate((np.zeros(1, np.int64), ends[:-1]))[: len(words)]] = True
+        begins = first
+        if cut:
+            spanned = np.cumsum(np.bincount(starts + 1, minlength=total + 1) - np.bincount(starts + lengths, minlength=total + 1))
+            begins = spanned[:total] == 0
+        bounds = np.flatnonzero(begins)
+        part = np.cumsum(begins) - 1
+        self.size = total + len(bounds)
+        #: The last node of each part, and the first part of each word.
+        self.last = np.append(bounds[1:], total)[: len(bounds)] + np.arange(len(bounds))
+        self.parts = part[np.flatnonzero(first)]
+        source, target = starts + part[starts], starts + lengths + part[starts]
+        end = starts + lengths - bounds[part[starts]]
+        order = np.argsort(end * (self.size + 1) + target, kind="stable")
+        self.source, self.target, self.pieces, end = source[order], target[order], pieces[order], end[order]
+        #: Where the pieces of a node begin, and where those of a step.
+        self.heads = np.flatnonzero(np.diff(self.target, prepend=-1))
+        self.steps = np.searchsorted(end[self.heads], np.arange(1, (int(end[-1]) if len(end) else 0) + 2))
+
+    def _step(self, k: int):
+        heads = self.heads[self.steps[k] : self.steps[k + 1]]
+        low = int(heads[0])
+        high = int(self.heads[self.steps[k + 1]]) if self.steps[k + 1] < len(self.heads) else len(self.target)
+        return slice(low, high), heads - low, np.repeat(np.arange(len(heads)), np.diff(heads, append=high)), self.target[heads]
+
+    def forward(self, weights: np.ndarray, known: np.ndarray | None = None, shares: np.ndarray | None = None) -> np.ndarray:
+        """For every node the log of the sum over segmentations of what lies before it in its part; weights: a row a piece.
+
+        A step adds up what its pieces bring relative to the node before, so a word of any length neither overflows nor vanishes.
+        known: logs of the first nodes of a single part. shares, if given, receives each piece's share of its node.
+        """
+        logs, begin = np.zeros((self.size, weights.shape[1])), 0
+        if known is not None:
+            logs[: len(known)] = known
+            begin = len(known) - 1
+        for k in range(begin, len(self.steps) - 1):
+            edges, heads, of, target = self._step(k)
+            before = logs[target - 1]
+            values = np.exp(logs[self.source[edges]] - before[of]) * weights[self.pieces[edges]]
+            sums = np.add.reduceat(values, heads, axis=0)
+            logs[target] = before + np.log(sums)
+            if shares is not None:
+                shares[edges] = values[:, 0] / sums[of, 0]
+        return logs
+
+    def totals(self, logs: np.ndarray) -> np.ndarray:
+        """The log probability of each word."""
+        return np.add.reduceat(logs[self.last], self.parts, axis=0) if len(self.parts) else logs[:0]
 
     def expected(self, weights: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """How often each piece is used over all segmentations, by their probability; counts: of the words."""
-        alpha, beta = self.forward(weights), self.backward(weights)
-        share = np.repeat(counts / self.totals(alpha)[:, 0], self.lengths)
-        node = np.repeat(np.arange(len(self.lengths)), self.lengths) + np.arange(len(share))
-        used = np.zeros(len(weights))
-        for n, pieces in enumerate(self.pieces, 1):
-            at = np.flatnonzero(pieces < len(weights) - 1)
-            value = alpha[node[at], 0] * weights[pieces[at], 0] * beta[node[at] + n, 0] * share[at]
-            used += np.bincount(pieces[at], value, minlength=len(weights))
-        return used
+        shares = np.zeros(len(self.target))
+        self.forward(weights, shares=shares)
+        reached = np.zeros(self.size)
+        reached[self.last] = np.repeat(counts, np.diff(self.parts, append=len(self.last)))
+        for k in reversed(range(len(self.steps) - 1)):
+            edges, _, of, target = self._step(k)
+            shares[edges] *= reached[target][of]
+            reached[self.source[edges]] += shares[edges]
+        return np.bincount(self.pieces, shares, len(weights))
+
+
+def log_of_long(word: bytes, vocabulary: Pieces, weights: np.ndarray) -> np.ndarray:
+    """The log probability of one word, block by block; the nodes that pieces still reach back to go on to the next block."""
+    logs, back = np.zeros((1, weights.shape[1])), vocabulary.longest - 1
+    for at in range(0, len(word), BLOCK):
+        known = logs[-(back + 1) :]
+        logs = Lattice([word[at - len(known) + 1 : at + BLOCK]], vocabulary, cut=False).forward(weights, known)
+    return logs[-1]
+
+
+def blocks(words: list[bytes]) -> Iterator[slice]:
+    """Slices of about BLOCK bytes of words."""
+    begin = size = 0
+    for i, word in enumerate(words):
+        if size and size + len(word) > BLOCK:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(word)
+    if words:
+        yield slice(begin, len(words))
+
+
+def logs_of(words: list[bytes], vocabulary: Pieces, weights: np.ndarray) -> np.ndarray:
+    """The log probability of each word (a row) under each language."""
+    out = np.zeros((len(words), weights.shape[1]))
+    for some in blocks(words):
+        if some.stop == some.start + 1 and len(words[some.start]) > BLOCK:
+            out[some.start] = log_of_long(words[some.start], vocabulary, weights)
+        else:
+            lattice = Lattice(words[some], vocabulary)
+            out[some] = lattice.totals(lattice.forward(weights))
+    return out
 
 
 def fitted(frame: pd.DataFrame, vocabulary: str, rounds: int) -> np.ndarray:
     """Piece probabilities of one language from its words and their counts, by expectation and maximisation."""
-    keys = piece_keys(vocabulary)
-    weights = np.append(np.full(len(keys), 1 / len(keys)), 0)[:, None]
+    known = pieces_of(vocabulary)
+    weights = np.full((len(known.pieces), 1), 1 / len(known.pieces))
     words, counts = frame["word"].tolist(), frame["n"].to_numpy(float)
     for _ in range(rounds):
-        used = np.zeros(len(keys) + 1)
-        for at in range(0, len(words), 20_000):
-            used += Lattice(words[at : at + 20_000], keys).expected(weights, counts[at : at + 20_000])
-        weights[:-1, 0] = np.maximum(used[:-1] / max(used.sum(), 1e-300), FLOOR)
-    return weights[:-1, 0]
+        used = sum(Lattice(words[some], known).expected(weights, counts[some]) for some in blocks(words))
+        weights[:, 0] = np.maximum(used / max(used.sum(), 1e-300), FLOOR)
+    return weights[:, 0]
 
 
 def held_out(id_column: str) -> Column:
@@ -123,13 +214,14 @@ def held_out(id_column: str) -> Column:
 
 
 def learned(
-    docs: DataFrame, id_column: str, text_column: str, label_column: str, vocabulary: str, sample_rows: int, rounds: int
+    docs: DataFrame, id_column: str, text_column: str, label_column: str, vocabulary: str, sample_rows: int, rounds: int,
+    max_labels: int = MAX_LABELS,
 ) -> tuple[list[str], np.ndarray]:
     """The languages in order and their piece probabilities (a row a piece).
 
-    Of each language at most sample_rows rows are taken, whole, by the smallest hashes of id and text. First the share of rows
-    that is needed is found by counting, so that few rows more than the sample are shuffled. Their words are counted by Spark and fitted in
-    one task for each language; the driver receives a number for each piece and language.
+    The max_labels labels with the most rows are learned, equal ones in order of their text. Of each at most sample_rows rows are taken, whole, by the smallest hashes of id and text. First the share of rows
+    that is needed is found by counting, so that few rows more than the sample are shuffled. Their words, but those over BLOCK bytes, are counted by
+    Spark and fitted in one task for each language; the driver receives a number for each piece and language.
     """
     labelled = docs.where(~held_out(id_column) & F.col(label_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(label_column).cast("string").alias("lang"), F.col(text_column).alias("text"),
@@ -137,8 +229,9 @@ def learned(
     )
     # Four standard deviations beyond the sample are let through, of rows whose hashes are spread evenly.
     let_through = sample_rows + 4 * sample_rows**0.5
-    shares = labelled.groupBy("lang").agg((let_through / F.count("*")).alias("share"))
-    # One row a language, as the model has.
+    shares = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_labels).select(
+        "lang", (let_through / F.col("n")).alias("share"))
+    # At most max_labels rows.
     drawn = labelled.join(F.broadcast(shares), "lang").where(F.pmod("at", F.lit(1 << 30)) < F.col("share") * (1 << 30)).drop("share")
     first = Window.partitionBy("lang").orderBy("at")
     sample = drawn.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample_rows)
@@ -147,7 +240,7 @@ def learned(
         for batch in batches:
             langs, words = [], []
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = words_of(text)
+                found = [w for w in words_of(text) if len(w) <= BLOCK]
                 langs += [lang] * len(found)
                 words += found
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.binary())], names=["lang", "word"])
@@ -165,22 +258,19 @@ class Scorer:
     """Log probabilities of texts under each language; words seen before are looked up."""
 
     def __init__(self, weights: np.ndarray, vocabulary: str):
-        self.keys = piece_keys(vocabulary)
-        self.weights = np.vstack((weights, np.zeros((1, weights.shape[1]))))
+        self.pieces, self.weights = pieces_of(vocabulary), weights
         self.cache = PieceCache(self._values, limit=100_000)
 
     def _values(self, pieces: list[str]) -> list[bytes]:
         """For each piece its log probabilities and number of words, as doubles in a row."""
-        out = []
-        for at in range(0, len(pieces), 10_000):
-            words = [words_of(p) for p in pieces[at : at + 10_000]]
-            lattice = Lattice([w for found in words for w in found], self.keys)
-            logs = np.log(lattice.totals(lattice.forward(self.weights)))
-            table = np.zeros((len(words), self.weights.shape[1] + 1))
-            table[:, -1] = [len(found) for found in words]
-            np.add.at(table[:, :-1], np.repeat(np.arange(len(words)), table[:, -1].astype(np.int64)), logs)
-            out += [row.tobytes() for row in table]
-        return out
+        words = [words_of(p) for p in pieces]
+        distinct: dict[bytes, int] = {}
+        of = np.array([distinct.setdefault(w, len(distinct)) for found in words for w in found], np.int64)
+        logs = logs_of([*distinct], self.pieces, self.weights)[of]
+        table = np.zeros((len(words), self.weights.shape[1] + 1))
+        table[:, -1] = [len(found) for found in words]
+        np.add.at(table[:, :-1], np.repeat(np.arange(len(words)), table[:, -1].astype(np.int64)), logs)
+        return [row.tobytes() for row in table]
 
     def sums(self, texts: list[str]) -> np.ndarray:
         """A row a text: log probability under each language, then the number of words."""
@@ -202,7 +292,8 @@ def identify_language(
     """Every row of docs with held_out, lang_pred and score.
 
     Probabilities are learned from text and label of rows whose crc32 of the id as text isn't 2 modulo 4, of each label at most
-    sample_rows; prediction sees the text alone. score is the predicted language's share of the likelihood (0 to 1);
+    sample_rows and of labels at most MAX_LABELS; prediction sees the text alone. A text's probability is the product over its words of the sum
+    over all segmentations of the word, however long, into the vocabulary's pieces. score is the predicted language's share of the likelihood (0 to 1);
     of equal ones the first label in order is predicted. Null texts, texts without a letter, and all texts if nothing could be learned are `und` with score 0. Texts of any length are
     scored whole; repeated rows get equal results. Columns that bear an added name are replaced. An empty table gives an empty table.
     """
