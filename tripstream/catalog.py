@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstream.functions import Box, as_event_time
-from tripstream.operators import enrichment, filters, pairing, registry, tips
+from tripstream.operators import digests, enrichment, filters, pairing, registry, tips
 from tripstream.plans import new_folder, write_bucketed, write_by_place
 from tripstream.replay import Replay
 from tripstream.schemas import STATION, UNMATCHED_FARE, UNMATCHED_RIDE
@@ -240,6 +240,15 @@ def _on_registries(operator):
     return lambda spark, sf_dir: operator(*_registries(spark, sf_dir))
 
 
+def _registry_except_all_stored(spark, sf_dir):
+    """The registries stored with their trees of digests, then compared from there."""
+    paths = []
+    for side in _registries(spark, sf_dir):
+        paths.append(new_folder(spark, "digested"))
+        digests.write_digested(side, paths[-1], buckets=32)
+    return digests.except_all_stored(spark, *paths)
+
+
 def _registry_renumbered(spark, sf_dir):
     """Parts against a copy in which every third has a new key."""
     old = _table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "id")
@@ -377,6 +386,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "registry_intersect": _on_registries(registry.registry_intersect),
         "registry_except": _on_registries(registry.registry_except),
         "registry_except_all": _on_registries(registry.registry_except_all),
+        "registry_except_all_stored": _registry_except_all_stored,
         "registry_renumbered": _registry_renumbered,
         "stream_ride_cleansing": _stream_ride_cleansing,
         "stream_hourly_tips": _stream_hourly_tips,

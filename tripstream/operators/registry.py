@@ -4,7 +4,7 @@ Each is one shuffle keyed by the whole row with partial aggregation, so however
 repeated, a task sends it once. Grouping takes nulls as equal, as the SQL set operations do.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _CHUNK = 1_000_000
@@ -39,24 +39,21 @@ def registry_except(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def registry_except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of `left` with as many copies as it has more than `right`."""
-    surplus = (
-        _counted(left, right)
-        .withColumn("__copies", F.col("__in_left") - F.col("__in_right"))
-        .filter("__copies > 0")
-    )
-    # A row with very many copies is written out by several tasks, not by the one that counted it.
-    few = surplus.filter(F.col("__copies") <= _CHUNK)
+    surplus = _counted(left, right).filter("__in_left > __in_right")
+    return repeated(surplus, F.col("__in_left") - F.col("__in_right")).select(left.columns)
+
+
+def repeated(rows: DataFrame, copies: Column) -> DataFrame:
+    """Each row as often as `copies` says. A row with very many copies is written out by several tasks, not by the one that has it."""
+    counted = rows.withColumn("__copies", copies)
+    few = counted.filter(F.col("__copies") <= _CHUNK)
     many = (
-        surplus.filter(F.col("__copies") > _CHUNK)
+        counted.filter(F.col("__copies") > _CHUNK)
         .withColumn("__from", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1, F.lit(_CHUNK))))
         .withColumn("__copies", F.least(F.col("__copies") - F.col("__from"), F.lit(_CHUNK)))
-        .repartition(*left.columns, "__from")
-    )
-    return (
-        few.unionByName(many.drop("__from"))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(left.columns)
+        .repartition(*rows.columns, "__from")
     )
+    return few.unionByName(many.drop("__from")).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
 
 
 def registry_renumbered(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:

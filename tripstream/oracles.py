@@ -246,6 +246,7 @@ def oracle_sql() -> dict[str, str]:
         "registry_intersect": f"{_REGISTRIES} FROM a INTERSECT FROM b",
         "registry_except": f"{_REGISTRIES} FROM a EXCEPT FROM b",
         "registry_except_all": f"{_REGISTRIES} FROM a EXCEPT ALL FROM b",
+        "registry_except_all_stored": f"{_REGISTRIES} FROM a EXCEPT ALL FROM b",
         "registry_renumbered": """
             SELECT CASE WHEN min(o.p_partkey) <> n.id THEN min(o.p_partkey)
                         ELSE max(o.p_partkey) END AS old_id,
