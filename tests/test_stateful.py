@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row
 
 from tests.models import replay_expiry, replay_pairing
-from tests.streams import T0, at_second, land_events, outcomes, pairing_player
+from tests.streams import Player, T0, at_second, land_events, outcomes, pairing_player
 from tests.test_pairing import frames, in_order, random_events
 from tripstream.operators import pairing
 from tripstream.operators.enrichment import side_output
@@ -246,3 +246,47 @@ def test_tags_go_to_tables_of_their_own_once(spark, tmp_path):
     for tag, expected in (("unmatched_fare", [(1, None, 1)]), ("unmatched_ride", [(2, 3, None)])):
         rows = spark.read.parquet(tags[tag]).collect()
         assert [(r.ride_id, r.ride and r.ride.no, r.fare and r.fare.no) for r in rows] == expected
+
+
+WIDER = "ride_id long, event_time timestamp, no long, note string, more array<int>"
+
+
+@pytest.mark.parametrize("build", [rides_fares_stream, enrichment_stream])
+def test_a_deployment_with_wider_records_goes_on_from_the_checkpoint(spark, tmp_path, build):
+    early = seconds((1, "R", 1, 1), (2, "R", 200, 2), (3, "F", 300, 3), (6, "F", 310, 4))
+    player = pairing_player(spark, tmp_path, build, wider_layouts=True)
+    land_events(player, early)
+    player.advance()
+    wider = Player(spark, tmp_path, build, {**player.schemas, "fares": WIDER}, wider_layouts=True)
+    wider.land("rides", [(3, at_second(301), 5)])
+    wider.land("fares", [(2, at_second(302), 6, "new", [7]), (5, at_second(303), 7, "waits", None)])
+    wider.advance()
+    layout = f"ride_id long, ride struct<{player.schemas['rides'].replace(' ', ':').replace(',:', ',')}>, fare struct<{WIDER.replace(' ', ':').replace(',:', ',')}>"
+    found = spark.read.schema(layout).parquet(f"{tmp_path}/out")
+    pairs = sorted((r.ride_id, r.ride.no, r.fare.no, r.fare.note, r.fare.more) for r in found.collect() if r.ride and r.fare)
+    assert pairs == [(2, 2, 6, "new", [7]), (3, 5, 3, None, None)]
+    held = {r.ride_id: r.fare and tuple(r.fare)[2:] for r in read_waiting(spark, f"{tmp_path}/checkpoint").collect()}
+    assert held[5] == (7, "waits", None) and held[6] == (4, None, None)
+    if build is enrichment_stream:
+        timers = [(r.ride_id, r.due.timestamp() - T0.timestamp()) for r in read_timers(spark, f"{tmp_path}/checkpoint").collect()]
+        assert sorted(timers) == [(5, 303), (6, 310)]
+
+
+def test_wider_records_need_the_state_kept_by_name(spark, tmp_path):
+    player = pairing_player(spark, tmp_path, rides_fares_stream)
+    land_events(player, seconds((1, "R", 1, 1)))
+    player.advance()
+    wider = Player(spark, tmp_path, rides_fares_stream, {**player.schemas, "fares": WIDER})
+    wider.land("fares", [(1, at_second(2), 2, "new", None)])
+    with pytest.raises(Exception, match="STATE_STORE_VALUE_SCHEMA_NOT_COMPATIBLE"):
+        wider.advance()
+
+
+def test_state_kept_by_name_gives_the_same_rows(spark, tmp_path):
+    files = timed_files(31, 3, 80, 20, 150 * S)
+    expected, _ = replay_expiry(files, 60_000)
+    player = pairing_player(spark, tmp_path, enrichment_stream, wider_layouts=True)
+    for rows in files:
+        land_events(player, rows)
+        player.advance()
+    assert outcomes(player.results()) == sorted(expected, key=repr)

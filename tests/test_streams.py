@@ -5,6 +5,8 @@ from tripstream.functions import Box
 from tripstream.operators.filters import ride_cleansing, ride_starts_sampled
 from tripstream.operators.tips import hourly_tips_max, tips_per_driver_hour
 from tripstream.schemas import FARE, RIDE
+from tripstream.sources import read_stream
+from tripstream.streaming.sinks import counting_dropped, read_dropped, start_sink
 from tripstream.streaming.interval import (
     rides_fares_within_stream,
     unmatched_fares_within_stream,
@@ -83,3 +85,26 @@ def test_interval_joins(spark, tmp_path):
         rows = player.results().collect()
         found = sorted((r.ride.no, r.fare.no) for r in rows) if name == "pairs" else sorted(r.no for r in rows)
         assert found == expected
+
+
+def test_dropped_rows_are_kept_by_batch(spark, tmp_path):
+    fare = "ride_id long, driver_id long, event_time timestamp, tip double"
+    player = Player(spark, tmp_path, hourly_tips_max, {"fares": fare})
+    hour = 3600
+    files = [
+        [(1, 7, at_second(10), 1.0), (2, 7, at_second(3 * hour), 1.0)],
+        # Behind the watermark: driver 7 twice in one hour, driver 8 in two hours; driver 9 comes in time.
+        [(3, 7, at_second(20), 9.0), (4, 7, at_second(30), 9.0), (5, 8, at_second(40), 9.0), (6, 8, at_second(hour + 5), 9.0), (7, 9, at_second(3 * hour + 9), 1.0)],
+        [(8, 9, at_second(9 * hour), 1.0)],
+    ]
+    with counting_dropped(spark, f"{tmp_path}/dropped") as listener:
+        for rows in files:
+            player.land("fares", rows)
+            stream = read_stream(spark, f"{tmp_path}/in/fares", FARE)
+            query = start_sink(hourly_tips_max(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint", until_caught_up=True)
+            listener.await_counts(query)
+    kept = read_dropped(spark, f"{tmp_path}/dropped")
+    assert kept.select("query").distinct().count() == 1
+    batches = kept.groupBy("batch").agg({"input_rows": "max", "dropped": "sum"}).orderBy("batch").collect()
+    assert [tuple(r)[1:] in ((2, 0), (5, 3), (1, 0)) for r in batches] == [True] * 3
+    assert sum(r["sum(dropped)"] for r in batches) == 3

@@ -7,7 +7,7 @@ of type view and purchase, keyed by user. Rides and fares with one record per id
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripstream.functions import Box, as_event_time
@@ -17,7 +17,7 @@ from tripstream.replay import Replay
 from tripstream.schemas import STATION, UNMATCHED_FARE, UNMATCHED_RIDE
 from tripstream.sources import read_stations, read_table, write_stations
 from tripstream.streaming import batches, interval, stateful
-from tripstream.streaming.sinks import FASTEST, read_waiting
+from tripstream.streaming.sinks import FASTEST, counting_dropped, read_dropped, read_waiting, start_sink
 
 # No bounds of the region are given anywhere; these suit the coordinates derived below.
 BOX = Box(west=-1.0, south=-1.0, east=1.0, north=1.0)
@@ -278,6 +278,25 @@ def _stream_hourly_tips_late(spark, sf_dir):
     return _zoneless(_replayed({"fares": fares}, tips.hourly_tips_max, late=F.col("event_id") % 7 == 0))
 
 
+def _stream_hourly_tips_dropped(spark, sf_dir):
+    """What the query above drops, by slice: groups of late fares, one for each driver and hour."""
+    counts = new_folder(spark, "dropped")
+    with counting_dropped(spark, counts) as listener:
+        def start(*args, **sink):
+            query = start_sink(*args, **sink)
+            listener.await_counts(query)
+            return query
+
+        inputs = {"fares": _tip_fares(spark, sf_dir, "event_id")}
+        replay = Replay(inputs, tips.hourly_tips_max, late=F.col("event_id") % 7 == 0, start=start)
+        replay.play()
+    by_batch = read_dropped(spark, counts).groupBy("batch").agg(
+        F.max("input_rows").alias("fares"), F.sum("dropped").alias("dropped_groups")
+    )
+    place = F.row_number().over(Window.orderBy("batch")) - 1  # a row for each of the few batches
+    return by_batch.filter("fares > 0").select(place.alias("slice"), "fares", "dropped_groups")
+
+
 def _two(pair):
     return dict(zip(("rides", "fares"), pair, strict=True))
 
@@ -341,6 +360,17 @@ def _stream_rides_fares_begun(spark, sf_dir):
     return _flat(pairing.pairs_of(done).unionByName(rest))
 
 
+def _stream_rides_fares_widened(spark, sf_dir):
+    """The second half of time is played by a later deployment, whose fares have one column more."""
+    rides, fares = _repeating(spark, sf_dir)
+    replay = None
+    for part, known in ((_FIRST_HALF, fares.drop("tip")), (f"NOT {_FIRST_HALF}", fares)):
+        inputs = _two(df.filter(part) for df in (rides, known))
+        replay = Replay(inputs, stateful.rides_fares_stream, max_delay=None, after=replay, wider_layouts=True)
+        found = replay.run()
+    return _flat(found)
+
+
 def _stream_enrichment_fastest(spark, sf_dir):
     """Rides fall silent after half of the time; fares alone move the watermark from then on."""
     rides, fares = _repeating(spark, sf_dir)
@@ -391,7 +421,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ride_cleansing": _stream_ride_cleansing,
         "stream_hourly_tips": _stream_hourly_tips,
         "stream_hourly_tips_late": _stream_hourly_tips_late,
+        "stream_hourly_tips_dropped": _stream_hourly_tips_dropped,
         "stream_rides_fares": _stream_rides_fares,
+        "stream_rides_fares_widened": _stream_rides_fares_widened,
         "stream_rides_waiting": _stream_rides_waiting,
         "stream_rides_fares_batches": _in_batches(batches.read_pairs),
         "stream_rides_waiting_batches": _in_batches(batches.read_states),

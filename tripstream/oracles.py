@@ -25,15 +25,17 @@ _HOURLY_MAX = _MAX.format(hourly=_HOURLY_OF_ALL)
 
 # Every seventh fare lands a slice late, and is dropped if the watermark, a minute behind all that landed in earlier
 # slices, has reached the end of its hour by then.
-_HOURLY_MAX_LATE = _MAX.format(hourly=_HOURLY.format(events=f"""(
-  WITH timed AS (SELECT *, epoch_us(ts) AS us FROM events), landed AS (
+_LATE_LANDED = f"""WITH timed AS (SELECT *, epoch_us(ts) AS us FROM events), landed AS (
     SELECT timed.*, least(floor((us - lo) * {SLICES} / (hi - lo + 1))::INT + (event_id % 7 = 0)::INT, {SLICES} - 1) AS slice
     FROM timed, (SELECT min(us) AS lo, max(us) AS hi FROM timed)
   ), newest AS (
     SELECT k AS slice, max(us) // 1000 - 60000 AS watermark FROM landed, range({SLICES} + 1) t(k) WHERE slice < k GROUP BY k
-  )
+  )"""
+_IN_TIME = "n.watermark IS NULL OR (epoch_us(time_bucket(INTERVAL '1 hour', l.ts)) + 3600000000) // 1000 > n.watermark"
+_HOURLY_MAX_LATE = _MAX.format(hourly=_HOURLY.format(events=f"""(
+  {_LATE_LANDED}
   SELECT l.* FROM landed l LEFT JOIN newest n USING (slice)
-  WHERE n.watermark IS NULL OR (epoch_us(time_bucket(INTERVAL '1 hour', l.ts)) + 3600000000) // 1000 > n.watermark)"""))
+  WHERE {_IN_TIME})"""))
 
 _PLACED = """
 SELECT event_id AS ride_id, event_type = 'view' AS is_start, ts AS event_time,
@@ -267,7 +269,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_hourly_tips_late": f"""
             SELECT * FROM ({_HOURLY_MAX_LATE})
             WHERE window_end <= (SELECT max(ts) - INTERVAL 60 SECOND FROM events)""",
+        "stream_hourly_tips_dropped": f"""{_LATE_LANDED}
+            SELECT slice::BIGINT AS slice, count(*) AS fares, count(DISTINCT CASE WHEN NOT ({_IN_TIME})
+                THEN (user_id, time_bucket(INTERVAL '1 hour', ts)) END) AS dropped_groups
+            FROM landed l LEFT JOIN newest n USING (slice) GROUP BY slice""",
         "stream_rides_fares": _PAIRS,
+        "stream_rides_fares_widened": f"""
+            SELECT * REPLACE (CASE WHEN fare_event_time >= TIMESTAMP '2024-01-16' THEN fare_tip END AS fare_tip)
+            FROM ({_PAIRS})""",
         "stream_rides_waiting": _WAITING,
         "stream_rides_fares_batches": _PAIRS,
         "stream_rides_waiting_batches": _WAITING,

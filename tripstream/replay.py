@@ -21,8 +21,8 @@ class Replay:
 
     The span between the first and last event is cut into SLICES equal ones. Each slice is written where the query looks
     for files, and the query takes it in from its checkpoint and stops: only a query that starts after a slice has landed
-    sees all of it, of both inputs, as one micro-batch. `late` says which rows land a slice after their time; `start` and `sink` how the query is started. Rows without a
-    time land with the first slice. Tables without rows give an empty result.
+    sees all of it, of both inputs, as one micro-batch. `late` says which rows land a slice after their time; `start` and `sink` how the query is started; `after` is an earlier
+    replay, on whose folders this one goes on. Rows without a time land with the first slice. Tables without rows give an empty result.
     """
 
     def __init__(
@@ -33,11 +33,12 @@ class Replay:
         partition_by: str | None = None,
         late: Column | None = None,
         start: Callable[..., StreamingQuery] = start_sink,
+        after: "Replay | None" = None,
         **sink,
     ):
         self.inputs = inputs
         self.spark = next(iter(inputs.values())).sparkSession
-        self.folder = new_folder(self.spark, "replay")
+        self.folder = after.folder if after else new_folder(self.spark, "replay")
         self.results = f"{self.folder}/results"
         self.checkpoint = f"{self.folder}/checkpoint"
         #: Rows without a time, by input, once played.

@@ -2,11 +2,12 @@
 
 import threading
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -33,6 +34,7 @@ def start_sink(
     state_partitions: int | None = None,
     idle_batches: bool = True,
     time_moved_by: str = SLOWEST,
+    wider_layouts: bool = False,
 ) -> StreamingQuery:
     """Appends `stream` to parquet files in `path`, exactly once.
 
@@ -47,11 +49,16 @@ def start_sink(
     `time_moved_by` says which of several inputs moves the watermark: the slowest, so that no input's records are behind
     it, or the fastest, so that an input which falls silent does not hold up time (nor what waits for it to pass), at the price
     that its records may come behind the watermark once it speaks again. A checkpoint keeps the choice it began with.
+
+    With `wider_layouts` the kept state is written in a form that tells its columns by name (Avro), so a query deployed again on
+    this checkpoint may have records with further columns: what was kept before comes back with null in them. Column names must
+    then be letters, digits and underscores. Without it such a query fails at its start; a checkpoint keeps the form it began with. Files written before
+    lack the further columns, so results are best read with the wider schema given.
     """
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return _start(stream.sparkSession, writer, checkpoint, interval, until_caught_up, state_partitions, idle_batches, time_moved_by)
+    return _start(stream.sparkSession, writer, checkpoint, interval, until_caught_up, state_partitions, idle_batches, time_moved_by, wider_layouts)
 
 
 def start_batches(
@@ -63,11 +70,12 @@ def start_batches(
     state_partitions: int | None = None,
     idle_batches: bool = True,
     time_moved_by: str = SLOWEST,
+    wider_layouts: bool = False,
 ) -> StreamingQuery:
     """Hands each micro-batch with its number to `write`, which is called again for a batch that has failed: what it
     writes must depend on the number so that it replaces the first attempt. Other arguments are those of `start_sink`."""
     writer = stream.writeStream.outputMode("append").foreachBatch(write)
-    return _start(stream.sparkSession, writer, checkpoint, interval, until_caught_up, state_partitions, idle_batches, time_moved_by)
+    return _start(stream.sparkSession, writer, checkpoint, interval, until_caught_up, state_partitions, idle_batches, time_moved_by, wider_layouts)
 
 
 def start_tagged_sinks(stream: DataFrame, tag: str, paths: dict[str, str], checkpoint: str, **sink) -> StreamingQuery:
@@ -89,11 +97,13 @@ def start_tagged_sinks(stream: DataFrame, tag: str, paths: dict[str, str], check
 
 def _start(
     spark: SparkSession, writer: DataStreamWriter, checkpoint: str, interval: str, until_caught_up: bool,
-    state_partitions: int | None, idle_batches: bool, time_moved_by: str,
+    state_partitions: int | None, idle_batches: bool, time_moved_by: str, wider_layouts: bool,
 ) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if until_caught_up else writer.trigger(processingTime=interval)
     settings = {**_STATE, "spark.sql.streaming.multipleWatermarkPolicy": _POLICY[time_moved_by]}
+    if wider_layouts:
+        settings["spark.sql.streaming.stateStore.encodingFormat"] = "avro"
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if not idle_batches:
@@ -113,6 +123,73 @@ def _start(
                     spark.conf.set(name, value)
 
 
+class DroppedRows(StreamingQueryListener):
+    """Keeps what a session's queries drop as late: a row for each micro-batch with input and stateful operator.
+
+    Rows go to parquet files in `path`, each batch to a folder of its own, which it overwrites if it is repeated. They are written when
+    Spark reports the batch, after its commit: a driver lost between the two loses that batch's counts, not its rows. An operator counts the rows
+    that reach it; in front of an aggregation these are groups of late records, one for each key and window of a batch.
+    """
+
+    LAYOUT = "query string, batch long, input_rows long, operator int, name string, dropped long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+        self._lock, self._ended = threading.Lock(), {}
+        self.failure: Exception | None = None
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        batch = event.progress
+        rows = [
+            (str(batch.id), batch.batchId, batch.numInputRows, n, kept.operatorName, kept.numRowsDroppedByWatermark)
+            for n, kept in enumerate(batch.stateOperators)
+        ]
+        if not any(r[2] or r[5] for r in rows):
+            return
+        try:
+            table = self._spark.createDataFrame(rows, self.LAYOUT).coalesce(1)
+            table.write.mode("overwrite").parquet(f"{self._path}/of={batch.id}/at={batch.batchId}")
+        except Exception as error:  # Spark only logs what a listener raises
+            self.failure = error
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def await_counts(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Returns once `query` has stopped and all its batches are counted: reports come after a query's end."""
+        query.awaitTermination()
+        if not self._end(str(query.runId)).wait(seconds):
+            raise TimeoutError(f"the end of query {query.id} was not reported in {seconds} s")
+        if self.failure is not None:
+            raise self.failure
+
+
+@contextmanager
+def counting_dropped(spark: SparkSession, path: str):
+    """Counts what is dropped by queries started within the block, into `path`; `await_counts` before leaving it."""
+    listener = DroppedRows(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def read_dropped(spark: SparkSession, path: str) -> DataFrame:
+    """(query, batch, input_rows, operator, name, dropped) as `DroppedRows` has kept them."""
+    return spark.read.schema(DroppedRows.LAYOUT).option("recursiveFileLookup", "true").parquet(path)
+
+
 def read_waiting(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
     """(ride_id, ride, fare) waiting in the state of a stopped pairing stream, at its end or at the end of an earlier batch.
 
