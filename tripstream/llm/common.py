@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,34 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_derived"
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    if _made.lists:
+        _made.lists[-1].append(path)
+    return path
+
+
+class _Made(threading.local):
+    def __init__(self):
+        self.lists: list[list[str]] = []
+
+
+_made = _Made()
+
+
+@contextmanager
+def noting_folders():
+    """Notes the folders that this thread's operators take within the block, oldest first."""
+    _made.lists.append([])
+    try:
+        yield _made.lists[-1]
+    finally:
+        _made.lists.pop()
+
+
+def emptied(spark: SparkSession, folders: list[str]) -> None:
+    """Overwrites derived tables with empty ones, so that they take no space. Frames that read them have no rows from then on."""
+    for path in folders:
+        spark.range(0).write.mode("overwrite").parquet(path)
 
 
 def stored(frame: DataFrame, codec: str = "zstd") -> DataFrame:
