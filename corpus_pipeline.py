@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstream.llm.common import stored
+from tripstream.llm.common import emptied, noting_folders, stored
 from tripstream.llm.exact_dedup import drop_exact_duplicates
 from tripstream.llm.language_id import drop_unidentified
 from tripstream.llm.packing import pack
@@ -54,8 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over documents, each result written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages in order over documents, each result written and read again.
+
+    Once a stage's result is written, the stage before and all that it derived on the way are emptied, so the shared folder holds two
+    stages at a time. What the last stage reads stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        with noting_folders() as folders:
+            docs = stored(stage(spark, docs, sf_dir))
+        emptied(spark, before + folders[:-1])
+        before = folders[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
