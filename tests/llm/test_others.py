@@ -15,7 +15,7 @@ import corpus_pipeline
 from tests.compare import TESTDATA, compare, tables
 from tests.llm.support import awkward_texts, by_id, documents, empty
 from tests.llm.test_dedup import brute_components, brute_fingerprint, brute_passages, lowered
-from tripstream.llm import ann, chat, language_id, packing, queries
+from tripstream.llm import ann, chat, common, language_id, packing, queries
 
 SF = TESTDATA / "sf0.001"
 
@@ -271,6 +271,16 @@ def test_pipeline_stages_keep_what_they_should(spark):
     assert {r["doc_id"] for r in packed.collect()} == set(left)
 
 
+def test_derived_tables_can_be_emptied(spark):
+    with common.noting_folders() as outer:
+        first = common.stored(spark.range(5))
+        with common.noting_folders() as inner:
+            second = common.stored(first)
+    assert len(outer) == len(inner) == 1 and second.count() == 5
+    common.emptied(spark, outer)
+    assert spark.read.schema("id long").parquet(*outer).count() == 0 and second.count() == 5
+
+
 def test_pipeline_runs(spark):
     assert len(corpus_pipeline.STAGES) == 5
     assert corpus_pipeline.run(spark, str(SF)).count() > 0
