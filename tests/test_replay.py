@@ -36,6 +36,19 @@ def test_results_do_not_depend_on_the_files_of_a_slice(spark):
     assert found[0] == found[1] and found[0] and SLICES == 4
 
 
+def test_a_table_is_worked_out_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    table = spark.createDataFrame([(n % 5, at_second(n * 31), n) for n in range(40)], RECORD)
+    rides = table.mapInArrow(counted, table.schema).withColumn("is_start", F.lit(True))
+    assert Replay({"rides": rides}, ride_starts, max_delay=None).run().count() == 40 and read.value == 40
+
+
 def test_folders_on_a_cluster_need_a_setting(spark, monkeypatch):
     class Context:
         master, applicationId = "spark://somewhere:7077", "app-1"

@@ -1,5 +1,7 @@
 """Built-in streaming operators: tips, late data, filters and interval joins."""
 
+import os
+
 from tests.streams import RECORD, Player, at_second
 from tripstream.functions import Box
 from tripstream.operators.filters import ride_cleansing, ride_starts_sampled
@@ -108,3 +110,25 @@ def test_dropped_rows_are_kept_by_batch(spark, tmp_path):
     batches = kept.groupBy("batch").agg({"input_rows": "max", "dropped": "sum"}).orderBy("batch").collect()
     assert [tuple(r)[1:] in ((2, 0), (5, 3), (1, 0)) for r in batches] == [True] * 3
     assert sum(r["sum(dropped)"] for r in batches) == 3
+
+
+def test_runs_that_catch_up_keep_snapshots_and_can_go_on_for_ever(spark, tmp_path):
+    player = Player(
+        spark, tmp_path, lambda rides, fares: rides_fares_within_stream(rides, fares, 100), {"rides": RECORD, "fares": RECORD}
+    )
+    for step in range(3):
+        player.land("rides", [(n, at_second(50 * n), n) for n in range(20 * step, 20 * step + 20)])
+        player.land("fares", [(n, at_second(50 * n + 60), n) for n in range(20 * step - 1, 20 * step + 19) if n >= 0])
+        player.advance()
+    kept = [f for _, _, files in os.walk(f"{tmp_path}/checkpoint/state") for f in files if not f.startswith(".")]
+    # Nothing for the next run to replay, and one store a partition.
+    assert any(f.endswith(".zip") for f in kept) and not any(f.endswith(".changelog") for f in kept)
+    assert not any("keyWithIndex" in d for _, folders, _ in os.walk(f"{tmp_path}/checkpoint/state") for d in folders)
+    streams = {n: read_stream(spark, f"{tmp_path}/in/{n}", player.results().select("ride.*").schema) for n in player.schemas}
+    query = start_sink(player.build(**streams), f"{tmp_path}/out", f"{tmp_path}/checkpoint", interval="0 seconds")
+    try:
+        player.land("fares", [(59, at_second(3010), 59)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.ride.no for r in player.results().collect()) == list(range(60))
