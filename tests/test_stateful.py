@@ -290,3 +290,51 @@ def test_state_kept_by_name_gives_the_same_rows(spark, tmp_path):
         land_events(player, rows)
         player.advance()
     assert outcomes(player.results()) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("buckets", [1, 64])
+def test_ids_that_share_a_bucket_keep_their_records_and_timers(spark, tmp_path, monkeypatch, buckets):
+    files = timed_files(41, 4, 120, 60, 150 * S)
+    expected, waiting = replay_expiry(files, 60_000)
+    player = pairing_player(spark, tmp_path, lambda rides, fares: enrichment_stream(rides, fares, buckets=buckets))
+    for rows in files:
+        land_events(player, rows)
+        player.advance()
+    assert outcomes(player.results()) == sorted(expected, key=repr)
+    # What lies in state while others of its bucket are written comes back as it went in, to the microsecond.
+    at = {e[3]: e[1] for rows in files for e in rows}
+    found = [r for side in ("ride", "fare") for r in player.results().selectExpr(f"{side}.no", f"unix_micros({side}.event_time) % 86400000000 AS us").collect() if r.no is not None]
+    assert found and all(r.us == at[r.no] for r in found)
+
+
+class _Calls:
+    """Stands in for the store and counts the calls to it."""
+
+    def __init__(self):
+        self.calls, self.rows, self.timers = 0, [], set()
+
+    def __getattr__(self, name):
+        def call(*arguments):
+            self.calls += 1
+            if name == "getListState":
+                return self
+            if name == "get":
+                return iter(self.rows)
+            if name in ("put", "appendList"):
+                self.rows = [*(self.rows if name == "appendList" else []), *arguments[0]]
+            elif name == "clear":
+                self.rows = []
+            else:
+                {"registerTimer": self.timers.add, "deleteTimer": self.timers.discard}[name](*arguments)
+
+        return call
+
+
+def test_calls_to_the_store_do_not_grow_with_ids_and_records():
+    store = _Calls()
+    processor = stateful.ExpiringProcessor(None, "replace")
+    processor.init(store)
+    rows = [Row(ride_id=n % 500, at=n * S, is_ride=n % 3 == 0, ride=None, fare=None) for n in range(5000)]
+    out = list(processor.handleInputRows((0,), iter(rows), None))
+    assert out and len(store.rows) == 500 and store.calls <= 5
+    assert store.timers == {min(due for row in store.rows for due in row[5])}
