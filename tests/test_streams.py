@@ -132,3 +132,20 @@ def test_runs_that_catch_up_keep_snapshots_and_can_go_on_for_ever(spark, tmp_pat
     finally:
         query.stop()
     assert sorted(r.ride.no for r in player.results().collect()) == list(range(60))
+
+
+def test_fares_left_over_across_runs_that_catch_up(spark, tmp_path):
+    player = Player(
+        spark, tmp_path, lambda rides, fares: unmatched_fares_within_stream(rides, fares, 100), {"rides": RECORD, "fares": RECORD}
+    )
+    # Even ids have a ride, the last of each run one run later than its fare.
+    for step in range(3):
+        player.land("rides", [(n, at_second(50 * n + 20), n) for n in range(20 * step - 2, 20 * step + 18, 2) if n >= 0])
+        player.land("fares", [(n, at_second(50 * n), n) for n in range(20 * step, 20 * step + 20)])
+        player.advance()
+    player.land("rides", [(58, at_second(2920), 58), (1000, at_second(100_000), 1000)])
+    player.land("fares", [(1001, at_second(100_000), 1001)])
+    player.advance()
+    assert sorted(r.no for r in player.results().collect()) == list(range(1, 60, 2))
+    kept = [f for _, _, files in os.walk(f"{tmp_path}/checkpoint/state") for f in files if not f.startswith(".")]
+    assert any(f.endswith(".zip") for f in kept) and not any(f.endswith(".changelog") for f in kept)
